@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,7 +69,7 @@ def blocks(batches: Iterable[pa.RecordBatch], chars: int = BLOCK_CHARS) -> Itera
     """Slices of the batches with at most `chars` bytes in column `text`, one row at least."""
     for batch in batches:
         text = batch.column(batch.schema.get_field_index("text"))
-        sizes = np.nan_to_num(pa.compute.binary_length(text).to_numpy(zero_copy_only=False)).astype(np.int64)
+        sizes = np.nan_to_num(pc.binary_length(text).to_numpy(zero_copy_only=False)).astype(np.int64)
         total, at = np.concatenate([[0], np.cumsum(sizes)]), 0
         while at < len(sizes):
             end = max(at + 1, int(np.searchsorted(total, total[at] + chars, side="right")) - 1)
@@ -79,7 +80,7 @@ def blocks(batches: Iterable[pa.RecordBatch], chars: int = BLOCK_CHARS) -> Itera
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column (nulls: empty) as one array, and where each row begins, with the end."""
     if column.null_count:
-        column = pa.compute.fill_null(column, "")
+        column = pc.fill_null(column, "")
     column = column.cast(pa.large_string())
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
