@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: UTC and adaptive plans; broadcasts stay at Spark's own size check.
@@ -17,3 +22,19 @@ SETTINGS = {
 def session(master: str | None = None, **more: str) -> SparkSession:
     builder = SparkSession.builder.appName("docloom").config(map=SETTINGS | more)
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, once for each application; they may not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package, out = Path(__file__).resolve().parent, Path(os.path.realpath(tempfile.mkdtemp()), "docloom.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    context.addPyFile(str(out))
+    _shipped.add(context.applicationId)
