@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.session import ship
+
 #: Characters of text that an operator holds at once (a longer text is a block of its own).
 BLOCK_CHARS = 2_000_000
 #: The white space of the word rule `[^\x20\x09-\x0D]+`; bytes.split() cuts at the same.
@@ -61,7 +63,8 @@ def remainder(doc_id: Column, mod: int) -> Column:
 
 
 def id_and_text(docs: DataFrame, *more: Column) -> DataFrame:
-    """doc_id, text (null: empty) and further columns, whatever else the table has."""
+    """doc_id, text (null: empty) and further columns, whatever else the table has; operators with Python code begin here."""
+    ship(docs.sparkSession)
     return docs.select(docs["doc_id"], F.coalesce(docs["text"], F.lit("")).alias("text"), *more)
 
 

@@ -1,9 +1,10 @@
 """The registered query of each corpus operator, and SQL where SQL can express it."""
 
-from . import bpe, packing, token_orc
+from . import bpe, packing, simhash, token_orc
 
 QUERIES = {
     "op1_token_orc": token_orc.query,
+    "op3_simhash": simhash.query,
     "op5_bpe": bpe.query,
     "op10_packing": packing.query,
 }
