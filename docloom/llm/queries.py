@@ -1,10 +1,11 @@
 """The registered query of each corpus operator, and SQL where SQL can express it."""
 
-from . import bpe, packing, rules, simhash, token_orc
+from . import bpe, packing, quality, rules, simhash, token_orc
 
 QUERIES = {
     "op1_token_orc": token_orc.query,
     "op3_simhash": simhash.query,
+    "op4_quality": quality.query,
     "op5_bpe": bpe.query,
     "op6_rules": rules.query,
     "op10_packing": packing.query,
