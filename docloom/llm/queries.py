@@ -1,6 +1,6 @@
 """The registered query of each corpus operator, and SQL where SQL can express it."""
 
-from . import bpe, packing, quality, rules, simhash, token_orc
+from . import bpe, langid, packing, quality, rules, simhash, token_orc
 
 QUERIES = {
     "op1_token_orc": token_orc.query,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_quality": quality.query,
     "op5_bpe": bpe.query,
     "op6_rules": rules.query,
+    "op9_langid": langid.query,
     "op10_packing": packing.query,
 }
 ORACLE_SQL: dict[str, str] = {"op6_rules": rules.SQL}
