@@ -1,9 +1,10 @@
 """The registered query of each corpus operator, and SQL where SQL can express it."""
 
-from . import bpe, langid, packing, quality, rules, simhash, token_orc
+from . import bpe, langid, packing, quality, rules, simhash, sketch, token_orc
 
 QUERIES = {
     "op1_token_orc": token_orc.query,
+    "op2_sketch": sketch.query,
     "op3_simhash": simhash.query,
     "op4_quality": quality.query,
     "op5_bpe": bpe.query,
