@@ -43,14 +43,14 @@ class NumpyBPE(WordIds):
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int32)
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int32)
-        self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
+        self.tokens = {x["content"].encode(): x["id"] for x in spec["added_tokens"]}
+        self.added = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.tokens, key=len, reverse=True))) + b")") if self.tokens else None
         value = {x: b for b, x in enumerate(letters)}
-        names: list[bytes] = [b""] * (max([*vocab.values(), *self.added.values()]) + 1)
+        names: list[bytes] = [b""] * (max([*vocab.values(), *self.tokens.values()]) + 1)
         for token, i in vocab.items():
             names[i] = bytes(value[x] for x in token)
-        for token, i in self.added.items():
-            names[i] = token.encode()
+        for token, i in self.tokens.items():
+            names[i] = token
         self.bytes, self.bytes_at = self._table(names)
         self.digits, self.digits_at = self._table([b"%d," % i for i in range(len(names))])
 
@@ -58,21 +58,19 @@ class NumpyBPE(WordIds):
     def _table(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.frombuffer(b"".join(rows), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int64)
 
-    def special(self, text: str) -> list[tuple[str, int | None]]:
-        if self.cut is None or not self.cut.search(text):
-            return [(text, None)]
-        return [(x, self.added.get(x)) for x in self.cut.split(text) if x]
+    def special(self, text: bytes) -> list[tuple[bytes, int | None]] | None:
+        if self.added is None or not self.added.search(text):
+            return None
+        return [(x, self.tokens.get(x)) for x in self.added.split(text) if x]
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], NONE)
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        raw = [x.encode() for x in words]
-        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-        ids, counts = self.merge(self.first[np.frombuffer(b"".join(raw), np.uint8)], lengths)
-        return ids, counts
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        return self.merge(self.first[np.frombuffer(b"".join(words), np.uint8)], lengths)
 
     def merge(self, sym: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all words and their lengths, after every merge that applies."""
@@ -147,7 +145,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            ids, at = numpy_bpe(path).encode(block.column(1).to_pylist())
+            ids, at = numpy_bpe(path).encode(block.column(1))
             yield pa.RecordBatch.from_arrays([block.column(0), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))], ["doc_id", "ids"])
 
     return id_and_text(docs).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
@@ -175,7 +173,7 @@ def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = numpy_bpe(path)
         for block in blocks(batches):
-            ids, at = coder.encode(block.column(1).to_pylist())
+            ids, at = coder.encode(block.column(1))
             ids_sha = [hashlib.sha256(x).hexdigest() for x in coder.decimals(ids, at)]
             decoded = [hashlib.sha256(x.encode()).hexdigest() for x in coder.decode(ids, at)]
             yield pa.RecordBatch.from_arrays([block.column(0), pa.array(np.diff(at)), pa.array(ids_sha), pa.array(decoded)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -154,7 +154,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
         docs_type = pa.int64()
         for block in blocks(batches):
             docs_type = block.column(0).type
-            ids, at = encoder.encode(block.column(1).to_pylist())
+            ids, at = encoder.encode(block.column(1))
             ids = np.insert(ids, at[1:], end_id).astype("<u4")
             at = (at + np.arange(len(at))).tolist()
             for doc_id, a, b in zip(block.column(0).to_pylist(), at[:-1], at[1:], strict=True):

@@ -25,7 +25,7 @@ def _encode(path: str, end_id: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, start = library_ids(path), TaskContext.get().partitionId(), 0
         for block in blocks(batches):
-            ids, at = encoder.encode(block.column(1).to_pylist())
+            ids, at = encoder.encode(block.column(1))
             ids = np.insert(ids, at[1:], end_id).astype(np.int32)
             at = at + np.arange(len(at))
             counts = np.diff(at)

@@ -1,23 +1,32 @@
-"""Byte-level BPE ids of whole texts, by words: each distinct word is encoded once and then looked up."""
+"""Byte-level BPE ids of whole texts, by words: each distinct word is encoded once and then looked up.
+
+Texts are cut into words over their bytes in numpy and numbered by Arrow's dictionary encoding, so that
+Python sees only the distinct words of a block.
+"""
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from functools import cache
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 import regex
 
-from .common import take_ragged
+from .common import take_ragged, text_bytes
 
-#: The split rule of the public byte-level BPE vocabularies, and the same over ASCII.
+#: The split rule of the public byte-level BPE vocabularies, which cut() follows.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.A)
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Words kept in a worker's cache before it starts anew; it bounds memory and changes no result.
 CACHE_WORDS = 600_000
-#: Characters that are cut into words at once.
-PIECE = 1 << 20
+#: Bytes that are cut into words at once, about.
+PIECE = 4 << 20
+#: A place at which any text may be cut without changing its words: before a space between two ASCII letters.
+SAFE = re.compile(rb"(?<=[A-Za-z]) (?=[A-Za-z])")
+OTHER, LETTER, NUMBER, BLANK = 0, 1, 2, 3
 
 
 def default_path(name: str = "byte_bpe_50k.json") -> str:
@@ -26,62 +35,98 @@ def default_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def words_of(text: str, piece: int = PIECE) -> Iterator[list[str]]:
-    """The words of a text by PATTERN, in lists from pieces of it."""
-    rule = ASCII if text.isascii() else PATTERN
-    if len(text) <= piece:
-        yield rule.findall(text)
-        return
-    at = 0
-    while at < len(text):
-        size = piece
-        while True:
-            found = rule.findall(text, at, at + size)
-            if at + size >= len(text):
-                break
-            found = found[:-2]  # the cut may change the last two words
-            if found:
-                break
-            size *= 2
-        yield found
-        at += sum(map(len, found))
-
-
-class _Index(dict):
-    """Numbers for words, given when a word is first met."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        return n
+@cache
+def classes() -> np.ndarray:
+    """OTHER, LETTER, NUMBER or BLANK for each code point."""
+    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    table = np.zeros(0x110000, np.uint8)
+    for kind, rule in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (BLANK, r"\s+")):
+        for m in regex.finditer(rule, everything):
+            first, last = ord(m[0][0]), ord(m[0][-1])
+            table[first : last + 1] = kind
+            if first < 0xD800 <= last:
+                table[0xD800:0xE000] = OTHER
+    return table
+
+
+def cut(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where words begin, and the end: byte offsets by PATTERN in UTF-8 texts that begin at `starts`."""
+    if not len(raw):
+        return np.zeros(1, np.int64)
+    lead = None
+    if raw.max() < 0x80:
+        point = raw
+    else:
+        lead = np.flatnonzero((raw & 0xC0) != 0x80)
+        point = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
+        starts = np.searchsorted(lead, starts)
+    kind, n = classes()[point], len(point)
+    first = np.zeros(n + 1, bool)
+    first[starts[starts < n]] = True
+    first[0] = first[n] = True
+    begin = np.ones(n + 1, bool)
+    begin[1:n] = kind[1:] != kind[:-1]
+    # behind white space: its last character is a word of its own, or a space that the next word takes
+    after = np.flatnonzero(begin[1:n] & ~first[1:n] & (kind[:-1] == BLANK)) + 1
+    begin[after] = point[after - 1] != 0x20
+    begin[after - 1] = True
+    begin |= first
+    for ending in ENDINGS:
+        marks = np.flatnonzero(point[: n - len(ending)] == 0x27)
+        marks = marks[begin[marks]]
+        for k, letter in enumerate(ending, 1):
+            marks = marks[(point[marks + k] == ord(letter)) & ~first[marks + k]]
+        begin[marks + 1] = False
+        begin[marks + 1 + len(ending)] = True
+    found = np.flatnonzero(begin)
+    if lead is not None:
+        found = np.append(lead, len(raw))[found]
+    return found
+
+
+def segments(raw: np.ndarray, at: np.ndarray, piece: int = PIECE) -> np.ndarray:
+    """The beginnings of texts and, in texts longer than `piece`, safe places to cut them; and the end."""
+    long = np.flatnonzero(np.diff(at) > piece)
+    if not len(long):
+        return at
+    more, view = [], memoryview(raw)
+    for i in long.tolist():
+        place = int(at[i])
+        while (m := SAFE.search(view, place + piece, int(at[i + 1]))) is not None:
+            place = m.start()
+            more.append(place)
+    return np.sort(np.concatenate([at, np.array(more, np.int64)]))
 
 
 class WordIds:
     """Looks up the ids of words; a subclass says how new words are encoded."""
 
-    def __init__(self, cache: int = CACHE_WORDS):
-        self.cache = cache
+    def __init__(self, cache: int = CACHE_WORDS, piece: int = PIECE):
+        self.cache, self.piece = cache, piece
         self._clear()
 
     def _clear(self) -> None:
-        self.index, self.done = _Index(), 0
+        self.index: dict[bytes, int] = {}
+        self.done = 0
         self.flat, self.at = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, one after another, and their numbers."""
         raise NotImplementedError
 
-    def special(self, text: str) -> list[tuple[str, int | None]]:
-        """The text, cut at added tokens: ordinary parts with None and added tokens with their ids."""
-        return [(text, None)]
+    #: What the strings of added tokens match, if there are any.
+    added: re.Pattern[bytes] | None = None
 
-    def _learn(self) -> None:
-        from itertools import islice
+    def special(self, text: bytes) -> list[tuple[bytes, int | None]] | None:
+        """None for a text without added tokens; else its ordinary parts with None and tokens with their ids."""
+        return None
 
+    def _learn(self) -> None:
         new = list(islice(self.index, self.done, None))
         if not new:
             return
         ids, lengths = self.encode_words(new)
-        start, end = self.at[self.done], self.at[self.done] + len(ids)
+        start, end = int(self.at[self.done]), int(self.at[self.done]) + len(ids)
         if end > len(self.flat):
             self.flat = np.concatenate([self.flat[:start], np.zeros(max(end, start), np.int32)])
         if len(self.index) + 1 > len(self.at):
@@ -90,47 +135,68 @@ class WordIds:
         self.at[self.done + 1 : len(self.index) + 1] = start + np.cumsum(lengths)
         self.done = len(self.index)
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _ordinary(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and bounds of texts without added tokens."""
+        bounds, out, place = segments(raw, at, self.piece), [], [np.zeros(1, np.int64)]
+        total = a = 0
+        while a < len(bounds) - 1:
+            b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + 2 * self.piece, side="right")) - 1)
+            if len(self.index) > self.cache:
+                self._clear()
+            part = raw[bounds[a] : bounds[b]]
+            own = bounds[a : b + 1] - bounds[a]
+            words = cut(part, own[:-1])
+            column = pa.Array.from_buffers(pa.large_binary(), len(words) - 1, [None, pa.py_buffer(words), pa.py_buffer(part)]).dictionary_encode()
+            index = self.index
+            number = np.array([index.setdefault(w, len(index)) for w in column.dictionary.to_pylist()], np.int64)
+            self._learn()
+            rows = number[column.indices.to_numpy()] if len(number) else np.zeros(0, np.int64)
+            ids, lengths = take_ragged(self.flat, self.at, rows)
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            out.append(ids)
+            place.append(total + ends[np.searchsorted(words, own[1:])])
+            total, a = total + len(ids), b
+        ends = np.concatenate(place)
+        return np.concatenate(out) if out else np.zeros(0, np.int32), ends[np.searchsorted(bounds, at)]
+
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and where each text begins, with the end."""
-        if len(self.index) > self.cache:
-            self._clear()
-        rows: list[list] = []
-        for text in texts:
-            row: list = []
-            for part, token in self.special(text):
-                if token is not None:
-                    row.append(np.array([-1 - token], np.int64))
-                else:
-                    row += [self._numbers(words) for words in words_of(part)]
-            rows.append(row)
-        self._learn()
-        counts = [sum(map(len, row)) for row in rows]
-        numbers = np.concatenate([x for row in rows for x in row] or [np.zeros(0, np.int64)])
-        if (numbers < 0).any():
-            added = numbers < 0
-            flat, at = np.concatenate([self.flat[: self.at[self.done]], -1 - numbers[added]]), self.at[: self.done + 1]
-            at = np.concatenate([at, at[-1] + 1 + np.arange(added.sum())])
-            numbers[added] = self.done + np.arange(added.sum())
-        else:
-            flat, at = self.flat, self.at
-        ids, lengths = take_ragged(flat, at, numbers)
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        return ids.astype(np.int32, copy=False), ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        raw, at = text_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        data, ends = raw.tobytes(), at.tolist()
+        odd = {}
+        if self.added is not None and self.added.search(data):
+            odd = {i: x for i in range(len(ends) - 1) if (x := self.special(data[ends[i] : ends[i + 1]])) is not None}
+        if not odd:
+            return self._fixed(raw, at)
+        parts, owner, tokens = [], [], []
+        for i in range(len(ends) - 1):
+            for part, token in odd.get(i, [(data[ends[i] : ends[i + 1]], None)]):
+                parts.append(part if token is None else b"")
+                owner.append(i)
+                tokens.append(-1 if token is None else token)
+        ids, bounds = self._fixed(np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64))
+        tokens = np.array(tokens)
+        here = np.flatnonzero(tokens >= 0)
+        lengths = np.diff(bounds) + (tokens >= 0)
+        ids = np.insert(ids, bounds[here], tokens[here])
+        counts = np.bincount(owner, lengths, len(ends) - 1).astype(np.int64)
+        return ids.astype(np.int32), np.concatenate([[0], np.cumsum(counts)])
+
+    def _fixed(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, ends = self._ordinary(raw, np.unique(at))
+        return ids, ends[np.searchsorted(np.unique(at), at)]  # empty texts begin where others do
 
 
 class LibraryIds(WordIds):
     """Words encoded by the tokenizers library. Texts with added tokens' strings go to it whole."""
 
-    def __init__(self, path: str, cache: int = CACHE_WORDS):
+    def __init__(self, path: str, cache: int = CACHE_WORDS, piece: int = PIECE):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        super().__init__(cache)
+        super().__init__(cache, piece)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -138,17 +204,39 @@ class LibraryIds(WordIds):
         split = spec["pre_tokenizer"] or {}
         if spec["normalizer"] or (split.get("type"), split.get("add_prefix_space"), split.get("use_regex")) != ("ByteLevel", False, True):
             raise ValueError("a byte-level BPE without normalizer is needed")
-        self.added = re.compile("|".join(re.escape(x["content"]) for x in spec["added_tokens"]) or r"(?!)")
+        self.added = re.compile(b"|".join(re.escape(x["content"].encode()) for x in spec["added_tokens"])) if spec["added_tokens"] else None
+        vocab = self.library.get_vocab(with_added_tokens=False)
+        self.size = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token: one letter stands for a byte
+        self.size[list(vocab.values())] = list(map(len, vocab))
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+    def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())), lengths
 
-    def special(self, text: str) -> list[tuple[str, int | None]]:
-        if not self.added.search(text):
-            return [(text, None)]
-        return [("", i) for i in self.library.encode(text, add_special_tokens=False).ids]
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of a space and letters are encoded many in a text: each stays a word there, as the bytes of its ids show."""
+        texts = [w.decode() for w in words]
+        plain = [i for i, w in enumerate(texts) if w[0] == " " and w[1:].isalpha()]
+        sizes = np.fromiter((len(words[i]) for i in plain), np.int64, len(plain))
+        ids, _ = self._flat(["".join([texts[i] for i in plain[a : a + 256]]) for a in range(0, len(plain), 256)])
+        ends, token_ends = np.cumsum(sizes), np.cumsum(self.size[ids])
+        at = np.searchsorted(token_ends, ends)
+        if len(plain) and (at[-1] >= len(ids) or not np.array_equal(token_ends[at], ends)):
+            return self._flat(texts)
+        rest = np.ones(len(words), bool)
+        rest[plain] = False
+        rest = np.flatnonzero(rest)
+        more, lengths = self._flat([texts[i] for i in rest])
+        order = np.argsort(np.concatenate([np.array(plain, np.int64), rest]))
+        counts = np.concatenate([np.diff(np.concatenate([[0], at + 1])) if len(plain) else np.zeros(0, np.int64), lengths])
+        flat, counts = take_ragged(np.concatenate([ids, more]), np.concatenate([[0], np.cumsum(counts)]).astype(np.int64), order)
+        return flat, counts
+
+    def special(self, text: bytes) -> list[tuple[bytes, int | None]] | None:
+        if self.added is None or not self.added.search(text):
+            return None
+        return [(b"", i) for i in self.library.encode(text.decode(), add_special_tokens=False).ids]
 
 
 _loaded: dict[tuple, WordIds] = {}
