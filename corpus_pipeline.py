@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import packing
+from docloom.llm import packing, quality, rules, simhash
 from docloom.llm.common import documents, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", rules.stage),
+    ("quality classifier", quality.stage),
+    ("near duplicates", simhash.stage),
     ("packing", packing.stage),
 ]
 #: SimHash fingerprints, the trained classifier and tokenization have no SQL; the tests hold the stages against plain versions.
@@ -20,7 +23,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -1,6 +1,6 @@
 """The registered query of each corpus operator, and SQL where SQL can express it."""
 
-from . import bpe, langid, lm, packing, quality, rules, simhash, sketch, token_orc
+from . import bpe, langid, licenses, lm, packing, quality, rules, simhash, sketch, token_orc
 
 QUERIES = {
     "op1_token_orc": token_orc.query,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_quality": quality.query,
     "op5_bpe": bpe.query,
     "op6_rules": rules.query,
+    "op7_licenses": licenses.query,
     "op8_lm": lm.query,
     "op9_langid": langid.query,
     "op10_packing": packing.query,
