@@ -1,27 +1,6 @@
-"""The registered queries over the driver's tables and their SQL."""
+"""All registered queries over the driver's tables, and their SQL."""
 
-from __future__ import annotations
+from . import document_queries, relational_queries, retrieval_queries, window_queries  # noqa: F401  each registers its own
+from .registry import ORACLE_SQL, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query, with SQL that gives the same rows."""
-
-    def add(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            ORACLE_SQL[name] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["ORACLE_SQL", "QUERIES"]

@@ -38,3 +38,11 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(package.parent))
     context.addPyFile(str(out))
     _shipped.add(context.applicationId)
+
+
+def checkpoint_dir(spark: SparkSession) -> None:
+    """checkpoint() writes to the folder of spark.checkpoint.dir; a temporary one only where none is set (tests)."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='docloom-')}")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
