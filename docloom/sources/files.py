@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,8 +47,6 @@ def decode(df: DataFrame, content: str = "content", fallback: str = "cp949") ->
     replacing mode for that code page.
     """
     ship(df.sparkSession)
-    import pandas as pd
-
     @F.pandas_udf("string")
     def other(raw: pd.Series) -> pd.Series:
         return raw.map(lambda x: None if x is None else bytes(x).decode(fallback, "replace"))

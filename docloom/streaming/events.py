@@ -6,15 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def marked(stream: DataFrame, time: str, late: str) -> DataFrame:
+    """The stream with a watermark, which needs a timestamp with a time zone."""
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+
+
 def tumbling(events: DataFrame, width: str, *by: str, time: str = "ts", late: str = "2 hours") -> DataFrame:
     """Counts and sums by window, of a batch or of a stream; a stream's rows later than `late` are dropped."""
-    df = events.withWatermark(time, late) if events.isStreaming else events
-    return df.groupBy(F.window(time, width).alias("w"), *by).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), *by, "n", "total")
+    kind = events.schema[time].dataType
+    df = marked(events, time, late) if events.isStreaming else events
+    return df.groupBy(F.window(time, width).alias("w"), *by).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").cast(kind).alias("start"), *by, "n", "total")
 
 
 def distinct_events(events: DataFrame, key: str, time: str = "ts", late: str = "2 hours") -> DataFrame:
     """The first row of each key; a stream forgets keys that are older than `late`."""
-    return events.withWatermark(time, late).dropDuplicatesWithinWatermark([key]) if events.isStreaming else events.dropDuplicates([key])
+    return marked(events, time, late).dropDuplicatesWithinWatermark([key]) if events.isStreaming else events.dropDuplicates([key])
 
 
 def to_rebuild(sources: DataFrame, done: DataFrame, key: str) -> DataFrame:
