@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import blocks, documents, id_and_text, take_ragged
-from .tokens import CACHE_WORDS, WordIds, _loaded, default_path
+from .tokens import CACHE_WORDS, PIECE, WordIds, _loaded, default_path
 
 NONE = np.int32(2**31 - 1)
 
@@ -32,8 +32,8 @@ def byte_letters() -> list[str]:
 
 
 class NumpyBPE(WordIds):
-    def __init__(self, path: str, cache: int = CACHE_WORDS):
-        super().__init__(cache)
+    def __init__(self, path: str, cache: int = CACHE_WORDS, piece: int = PIECE):
+        super().__init__(cache, piece)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, letters = spec["model"]["vocab"], byte_letters()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, documents, id_and_text, per_row, remainder, text_bytes
+from .common import blocks, documents, id_and_text, per_row, remainder, smallest_hashes, text_bytes
 from .rules import _IS_DIGIT, _IS_SPACE, _IS_SYMBOL, _IS_UPPER, lines_of, repeated_words
 
 #: The most labelled rows that the trees are grown from, and the threshold of `predicted`.
@@ -66,8 +66,12 @@ class Trees:
         return 1 / (1 + np.exp(-total))
 
 
-def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, bins: int = 64, rate: float = 0.15, reg: float = 2.0, least: int = 10) -> Trees:
-    """Boosts trees of fixed depth on the logistic loss; splits are sought over histograms of binned values."""
+def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, bins: int = 64, rate: float = 0.15, reg: float = 1.0, least: int | None = None) -> Trees:
+    """Boosts trees of fixed depth on the logistic loss; splits are sought over histograms of binned values.
+
+    A leaf holds `least` rows, by default ten, and fewer of small samples.
+    """
+    least = max(2, min(10, len(y) // 50)) if least is None else least
     inner, mean = 2**depth - 1, float(y.mean()) if len(y) else 0.5
     mean = min(max(mean, 1e-3), 1 - 1e-3)
     model = Trees(np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, inner + 1)), float(np.log(mean / (1 - mean))))
@@ -118,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     are broadcast, so that texts aren't shuffled.
     """
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (remainder(F.col("doc_id"), mod) != held))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    sample = smallest_hashes(known.withColumn("tie", F.xxhash64("doc_id")), "tie", max_labelled, "doc_id", "quality")
     rows = id_and_text(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "quality")
     found = rows.mapInArrow(_gather, "quality int, x array<double>").toArrow().combine_chunks()
     x = found.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
@@ -151,6 +155,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier predicts 1 for."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    whole = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("whole")
+    whole = F.struct(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("whole")
     kept = scored(docs, model, whole).filter(F.col("score") >= THRESHOLD)
     return kept.select(*[F.col(f"whole.c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -174,6 +174,6 @@ FROM f
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the current policy keeps."""
-    whole = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("whole")
+    whole = F.struct(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("whole")
     kept = verdict(ledger(docs, whole)).filter("kept")
     return kept.select(*[F.col(f"whole.c{i}").alias(c) for i, c in enumerate(docs.columns)])

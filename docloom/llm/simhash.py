@@ -132,4 +132,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = kept.select(F.col("k.doc_id").alias("kept_id"), F.col("k.tie").alias("kept_tie"))
     rows = docs.withColumn("__tie", tie).join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.col("__tie") == kept["kept_tie"]), "left_semi")
     one = rows.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__tie").orderBy("doc_id")))
-    return one.filter("__n = 1").select(*docs.columns)
+    return one.filter("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
