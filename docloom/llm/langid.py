@@ -156,8 +156,13 @@ def train(docs: DataFrame, mod: int = 3, held: int = 1, per_lang: int = MAX_PER_
     n = {r["feature"]: r["n"] for r in df}
     total = n.pop(1 << BITS, 0)
     idf = np.log((1 + total) / (1 + np.bincount(list(n), list(n.values()), 1 << BITS))) + 1 if n else np.ones(1 << BITS)
-    first = Window.partitionBy("lang").orderBy("tie", "doc_id")
     ids = known.filter("doc_id is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("tie"))
+    sizes = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
+    cuts = {lang: min(2**63 - 1, int((1.1 * per_lang + 10 * per_lang**0.5 + 100) / size * 2**64) - 2**63) for lang, size in sizes.items()}
+    if cuts:  # of a large language only rows with small hashes are ranked, which are per_lang or more
+        cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
+        ids = ids.filter(F.col("tie") <= F.element_at(cut, F.col("lang")))
+    first = Window.partitionBy("lang").orderBy("tie", "doc_id")
     sample = ids.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_lang).orderBy("tie", "lang").limit(MAX_SAMPLE).select("doc_id", F.col("lang").alias("known"), "tie")
     rows = id_and_text(known, known["lang"]).join(F.broadcast(sample), "doc_id").filter("lang = known")
     found = rows.select("doc_id", "text", "lang", "tie").mapInArrow(_sparse, "lang string, tie long, feature array<short>, n array<int>").toArrow()
