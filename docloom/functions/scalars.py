@@ -41,7 +41,7 @@ def flat(text: Column) -> Column:
 
 def escape_cell(text: Column, line_break: str = "<br>", trim: bool = True) -> Column:
     """Text for a Markdown table cell."""
-    out = F.regexp_replace(F.regexp_replace(text, r"\|", r"\\\\|"), "\r?\n", line_break)
+    out = F.regexp_replace(F.regexp_replace(text, r"\|", r"\\|"), "\r?\n", line_break)
     return strip(out) if trim else out
 
 

@@ -199,6 +199,13 @@ def blocks(root: Node) -> Iterator[dict]:
                 yield from flush()
                 if text := squeeze(x.text()).replace("\n", " "):
                     yield _block("h", level=int(m[1]) if m else max(1, depth), text=text)
+            elif x.tag != "div" and (m := re.search(r"\bsection-([1-6])\b", x.attrs.get("class", ""))):  # a viewer's title
+                yield from flush()
+                if text := squeeze(x.text()).replace("\n", " "):
+                    yield _block("h", level=int(m[1]), text=text)
+            elif x.tag == "img" and x.attrs.get("alt", "").strip():
+                yield from flush()
+                yield _block("p", text=x.attrs["alt"].strip())
             elif m := re.fullmatch(r"section-(\d)", x.tag):
                 yield from flush()
                 yield from walk(x, int(m[1]))
