@@ -25,12 +25,14 @@ from pyspark.sql import functions as F
 
 from docloom.session import ship
 
-from .common import blocks, documents, id_and_text, remainder, write_table
+from .common import blocks, documents, id_and_text, remainder, smallest_hashes, write_table
 from .simhash import LOWER
 
 #: Words of the network; words whose counts every task holds; documents that the network is trained on.
-VOCABULARY, HELD, MAX_DOCS = 2048, 200_000, 3000
+VOCABULARY, HELD, MAX_DOCS = 2048, 100_000, 3000
 HIDDEN, WINDOW = 24, 64
+#: Bytes of texts that are read side by side.
+LOCKSTEP_BYTES = 12_000_000
 #: How many counted words a task holds before it sends them on.
 COUNTER_WORDS = 300_000
 END = b""
@@ -69,6 +71,20 @@ def classes_of(counts: np.ndarray) -> np.ndarray:
     return np.minimum((mass - mass[0]) / mass[-1] * n, n - 1).astype(np.int64)
 
 
+def _softmax(hs: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits, their exponentials and the rows' sums. States lie within 1, which bounds the logits: mostly one shift serves all rows."""
+    reach = np.abs(w).sum(axis=0)
+    shift = (b + reach).max()
+    if shift - (b - reach).max() < 60:
+        logit = hs @ w
+        logit += b - shift
+    else:
+        logit = hs @ w + b
+        logit -= logit.max(axis=1, keepdims=True)
+    e = np.exp(logit)
+    return logit, e, e @ np.ones(e.shape[1], e.dtype)
+
+
 @dataclass
 class Network:
     """The parameters by name; words are sorted by class, so that those of class c lie from first[c] to first[c + 1]."""
@@ -106,10 +122,7 @@ class Network:
         """The natural log of each target's probability given the states; with grads, also the gradient by the states."""
         p, klass, first = self.p, self.klass[target], self.first
         rows = np.arange(len(hs))
-        logit = hs @ p["cw"] + p["cb"]
-        logit -= logit.max(axis=1, keepdims=True)
-        e = np.exp(logit)
-        total = e.sum(axis=1)
+        logit, e, total = _softmax(hs, p["cw"], p["cb"])
         out = logit[rows, klass] - np.log(total)
         dh = None
         if grads is not None:
@@ -125,10 +138,7 @@ class Network:
             if b - a == 1 and grads is None:
                 continue
             own, w = hs[at], p["ww"][a:b]
-            logit = own @ w.T + p["wb"][a:b]
-            logit -= logit.max(axis=1, keepdims=True)
-            e = np.exp(logit)
-            total = e.sum(axis=1)
+            logit, e, total = _softmax(own, w.T, p["wb"][a:b])
             k, t = np.arange(len(at)), target[at] - a
             out[at] += logit[k, t] - np.log(total)
             if grads is not None:
@@ -288,7 +298,7 @@ class Reader:
 
     def network_row(self, held: np.ndarray) -> np.ndarray:
         """The network's numbers of a text's words, and the end."""
-        return np.append(np.where(self.inside[held], self.number[held], self.other), self.model.end)
+        return np.append(np.where(self.inside[held], self.number[held], self.other), self.model.end).astype(np.int32)
 
 
 _readers: dict[int, Reader] = {}
@@ -303,16 +313,31 @@ def _reader(shared) -> Reader:
 
 def _sample(docs: DataFrame, max_docs: int) -> list[str]:
     """Whole texts of max_docs documents at most, by a hash of the id."""
-    ids = docs.filter("doc_id is not null").select("doc_id", F.xxhash64("doc_id").alias("tie")).orderBy("tie", "doc_id").limit(max_docs)
+    ids = smallest_hashes(docs.filter("doc_id is not null").select("doc_id", F.xxhash64("doc_id").alias("tie")), "tie", max_docs, "doc_id")
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("tie", F.coalesce("text", F.lit("")).alias("text"))
     return [r["text"] for r in sorted(rows.collect())]
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """At most `most` words, all that have a count or none: those from the smallest eighth of a power of two on that leaves no more.
+
+    A histogram of at most some hundred steps finds it, so that tasks send only the words that are kept.
+    """
+    step = F.floor(F.log2("n") * 8).cast("int")
+    sizes = {r["step"]: r["size"] for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("size")).collect()}
+    total, least = 0, max(sizes, default=0) + 1
+    for k in sorted(sizes, reverse=True):
+        if (total := total + sizes[k]) > most:
+            break
+        least = k
+    return counts.filter(step >= least)
+
+
 def train(docs: DataFrame, vocabulary: int = VOCABULARY, held: int = HELD, max_docs: int = MAX_DOCS) -> tuple[Model, DataFrame]:
     """A model of the documents, and the table of all word counts."""
     counts = write_table(word_counts(docs), "word-counts")
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(held).toPandas()
+    top = most_frequent(counts, held).toPandas().sort_values(["n", "word"], ascending=[False, True])
     model = Model.new([bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64), total, types, vocabulary)
     reader = Reader(model)
     rows = [reader.network_row(reader.numbers(words_of(t))) for t in _sample(docs, max_docs)]
@@ -332,7 +357,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, *more: F.Column) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _reader(shared)
-        for block in blocks(batches, 6_000_000):
+        for block in blocks(batches, LOCKSTEP_BYTES):
             rows, tops, logs, rests, rare = [], [], [], [], []
             for text in block.column(1).to_pylist():
                 words = words_of(text)
