@@ -129,7 +129,9 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tie = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     found = near_duplicates(docs, MAX_BITS, tie.alias("tie"))
     kept = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("k"))
-    kept = kept.select(F.col("k.doc_id").alias("kept_id"), F.col("k.tie").alias("kept_tie"))
-    rows = docs.withColumn("__tie", tie).join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.col("__tie") == kept["kept_tie"]), "left_semi")
-    one = rows.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__tie").orderBy("doc_id")))
+    id_of = lambda c: [F.coalesce(c, F.lit(0)).alias("__id"), c.isNull().alias("__none")]  # noqa: E731  plain keys, so that the join and the window share one exchange
+    keys = ["__id", "__none", "__tie"]
+    kept = kept.select(*id_of(F.col("k.doc_id")), F.col("k.tie").alias("__tie"))
+    rows = docs.select("*", *id_of(docs["doc_id"]), tie.alias("__tie")).join(kept, keys, "left_semi")
+    one = rows.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id")))
     return one.filter("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
