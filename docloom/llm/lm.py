@@ -1,8 +1,10 @@
 """Language-model scoring: a gated recurrent network with a class-factored softmax, and unigram counts.
 
 Words are counted over all training documents. The most frequent ones (VOCABULARY) are the network's
-words; it is trained in numpy by truncated backpropagation on a bounded sample of training documents
-(MAX_DOCS whole texts, by a hash of the id). A document is read from its beginning to its end with the
+words. It is trained in numpy by truncated backpropagation: first on whole texts (MAX_DOCS, by a hash
+of the id), then, from there, by every partition on a window of each training document (REFINE words
+at a place that a hash of the text gives), and the partitions' parameters are averaged by the numbers
+of windows. A document is read from its beginning to its end with the
 state carried from window to window. A word outside the vocabulary has the probability that the
 network gives to any such word, times its share in the smoothed counts of those words. Counts of all
 but the HELD most frequent words stay distributed and are joined to the rare words of documents.
@@ -14,6 +16,7 @@ rows all counts are zero.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -25,12 +28,14 @@ from pyspark.sql import functions as F
 
 from docloom.session import ship
 
-from .common import blocks, documents, id_and_text, remainder, smallest_hashes, write_table
+from .common import blocks, documents, id_and_text, remainder, smallest_hashes, text_bytes, write_table
 from .simhash import LOWER
 
 #: Words of the network; words whose counts every task holds; documents that the network is trained on.
 VOCABULARY, HELD, MAX_DOCS = 2048, 100_000, 3000
 HIDDEN, WINDOW = 24, 64
+#: Words of a document's window in the second part of training, and windows of a step.
+REFINE, REFINE_BATCH = 48, 64
 #: Bytes of texts that are read side by side.
 LOCKSTEP_BYTES = 12_000_000
 #: How many counted words a task holds before it sends them on.
@@ -85,6 +90,23 @@ def _softmax(hs: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     return logit, e, e @ np.ones(e.shape[1], e.dtype)
 
 
+class Adam:
+    """Moments of the gradients; a step is cut to a norm."""
+
+    def __init__(self, p: dict[str, np.ndarray]):
+        self.m, self.v, self.t = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
+
+    def step(self, p: dict[str, np.ndarray], grads: dict[str, np.ndarray], rate: float, most: float = 5.0) -> None:
+        self.t += 1
+        norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
+        for k, g in grads.items():
+            m, v = self.m[k], self.v[k]
+            g = g * np.float32(min(1.0, most / (norm + 1e-9)))
+            m += np.float32(0.1) * (g - m)
+            v += np.float32(0.01) * (g**2 - v)
+            p[k] -= np.float32(rate / (1 - 0.9**self.t)) * m / (np.sqrt(v * np.float32(1 / (1 - 0.99**self.t))) + np.float32(1e-8))
+
+
 @dataclass
 class Network:
     """The parameters by name; words are sorted by class, so that those of class c lie from first[c] to first[c + 1]."""
@@ -155,8 +177,7 @@ class Network:
         if length < 1:
             return
         inputs, targets = stream[: batch * length].reshape(batch, length).T, stream[1 : batch * length + 1].reshape(batch, length).T
-        m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
-        t = 0
+        adam, t = Adam(self.p), 0
         steps = passes * ((length + window - 1) // window)
         for _ in range(passes):
             h = np.zeros((batch, self.p["u"].shape[0]), np.float32)
@@ -164,13 +185,7 @@ class Network:
                 x, y = inputs[a : a + window], targets[a : a + window]
                 h, grads = self._window(x, y, h, end)
                 t += 1
-                now = rate * (1 - 0.9 * t / steps)
-                norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
-                for k, g in grads.items():
-                    g = g * min(1.0, 5 / (norm + 1e-9))
-                    m[k] += 0.1 * (g - m[k])
-                    v[k] += 0.01 * (g**2 - v[k])
-                    self.p[k] -= (now * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+                adam.step(self.p, grads, rate * (1 - 0.9 * t / steps))
 
     def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         p, k, kept = self.p, h.shape[1], []
@@ -201,6 +216,34 @@ class Network:
         scale = np.float32(1 / x.size)
         return h, {name: g * scale for name, g in grads.items()}
 
+    def refine(self, columns: Iterable[tuple[np.ndarray, np.ndarray]], end: int, batch: int = REFINE_BATCH, rate: float = 0.001) -> int:
+        """Steps over columns of inputs and targets of one length, each begun with an empty state; returns how many columns there were."""
+        adam, total, held = Adam(self.p), 0, []
+
+        def step() -> None:
+            x, y = (np.array([c[k] for c in held]).T for k in (0, 1))
+            adam.step(self.p, self._window(x, y, np.zeros((len(held), self.p["u"].shape[0]), np.float32), end)[1], rate)
+            held.clear()
+
+        for column in columns:
+            held.append(column)
+            total += 1
+            if len(held) == batch:
+                step()
+        if held:
+            step()
+        return total
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
+
+    def set_flat(self, values: np.ndarray) -> None:
+        at = 0
+        for k in sorted(self.p):
+            n = self.p[k].size
+            self.p[k] = values[at : at + n].reshape(self.p[k].shape).astype(np.float32)
+            at += n
+
     def score(self, rows: list[np.ndarray], end: int, window: int = WINDOW) -> np.ndarray:
         """The natural log-likelihood of each row of words, whole; a row has its end already.
 
@@ -333,6 +376,51 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.filter(step >= least)
 
 
+def window_columns(batches: Iterable[pa.RecordBatch], reader: Reader, size: int = REFINE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Inputs and targets of `size` words: a window of each long text, and short texts behind one another, the end between them."""
+    end, short = reader.model.end, [reader.model.end]
+    for block in blocks(batches):
+        raw, at = text_bytes(block.column(1))
+        data = raw.tobytes()
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            reach = 24 * (size + 2)
+            if b - a <= reach:
+                words, first, last = data[a:b].translate(LOWER).split(), True, True
+            else:
+                start = a + zlib.crc32(data[a:b]) % (b - a - reach + 1)
+                words, first, last = data[start : start + reach].translate(LOWER).split(), start == a, start + reach == b
+                words = words[0 if first else 1 : len(words) if last else -1]  # the cut may run through words
+            row = reader.network_row(reader.numbers(words))
+            row = np.concatenate([[end], row]) if first else row
+            row = row if last else row[:-1]
+            if len(row) > size:
+                yield row[:size], row[1 : size + 1]
+            elif first and last:
+                short += row[1:].tolist()
+                while len(short) > size:
+                    yield np.array(short[:size]), np.array(short[1 : size + 1])
+                    short = short[size:]
+
+
+def refine(docs: DataFrame, model: Model) -> None:
+    """One round over all documents: each partition goes on from the model, and the parameters are averaged."""
+    import uuid
+
+    shared = docs.sparkSession.sparkContext.broadcast({"key": uuid.uuid4().hex, "model": model})
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _reader(shared)
+        own = Network(reader.model.network.klass, {k: v.copy() for k, v in reader.model.network.p.items()})
+        if n := own.refine(window_columns(batches, reader), reader.model.end):
+            values = own.flat().astype(np.float64) * n
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values), pa.array(np.full(len(values), n, np.int64))], ["i", "v", "n"])
+
+    sums = id_and_text(docs).mapInArrow(run, "i int, v double, n long").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v"))
+    found = sums.toPandas().sort_values("i")  # as many rows as the network has parameters
+    if len(found):
+        model.network.set_flat(found["v"].to_numpy())
+
+
 def train(docs: DataFrame, vocabulary: int = VOCABULARY, held: int = HELD, max_docs: int = MAX_DOCS) -> tuple[Model, DataFrame]:
     """A model of the documents, and the table of all word counts."""
     counts = write_table(word_counts(docs), "word-counts")
@@ -343,6 +431,7 @@ def train(docs: DataFrame, vocabulary: int = VOCABULARY, held: int = HELD, max_d
     rows = [reader.network_row(reader.numbers(words_of(t))) for t in _sample(docs, max_docs)]
     if rows:
         model.network.train(np.concatenate([[model.end], *rows]), model.end)
+        refine(docs, model)
     return model, counts
 
 

@@ -365,3 +365,27 @@ def test_licenses_on_table(spark, sf_dir, texts):
     got = QUERIES["op7_licenses"](spark, sf_dir).toPandas()
     for i, families in zip(got.doc_id, got.families, strict=True):
         assert families == ",".join(sorted({f for m, f in marks.items() if m in texts[i]}))
+
+
+def test_refining_covers_all_documents(spark, sf_dir, texts):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model, _ = lm.train(docs, vocabulary=200, max_docs=20)
+    reader = lm.Reader(model)
+    import pyarrow as pa
+
+    rows = [*texts.values(), "", "short", "x" * 9000]
+    columns = list(lm.window_columns([pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows)], ["doc_id", "text"])], reader, 16))
+    assert all(len(x) == len(y) == 16 and (x[1:] == y[:-1]).all() for x, y in columns)
+    assert len(columns) >= sum(len(lm.words_of(t)) > 100 for t in rows)
+    before = model.network.flat().copy()
+    lm.refine(docs, model)
+    after = model.network.flat()
+    assert np.isfinite(after).all() and 0 < np.abs(after - before).max() < 1
+    held = [reader.network_row(reader.numbers(lm.words_of(t))) for t in list(texts.values())[:50]]
+    assert lm.Reader(model).model.network.score(held, model.end).sum() < 0
+
+
+def test_packing_with_ids(spark, awkward):
+    docs = spark.read.parquet(f"{awkward[0]}/documents.parquet")
+    rows = packing.pack_documents(docs).collect()
+    assert all(len(r["ids"]) == r.length and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r.ids_crc32 for r in rows)
