@@ -15,6 +15,34 @@ def render(rows: list, snippet: int = 200) -> str:
     return "\n".join(map(line, rows))
 
 
+def repl(ask, read=input, show=print) -> None:
+    """Questions line by line; /company NAME, /k N, /full, /reset and /q change what they are asked with."""
+    state: dict = {}
+    while True:
+        try:
+            line = read("> ").strip()
+        except EOFError:
+            return
+        word, _, rest = line.partition(" ")
+        if word == "/q":
+            return
+        if word == "/reset":
+            state.clear()
+        elif word == "/company":
+            state["company"] = rest or None
+        elif word == "/k":
+            state["k"] = int(rest)
+        elif word == "/full":
+            state["full"] = not state.get("full")
+        elif word.startswith("/"):
+            show(f"unknown command {word}")
+        elif line:
+            try:
+                show(render(ask(line, state.get("k", 5), company=state.get("company")).collect(), 0 if state.get("full") else 200))
+            except LookupError as e:
+                show(str(e))
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="docloom", description=__doc__)
     sub = p.add_subparsers(dest="what", required=True)
@@ -30,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("out")
     a = sub.add_parser("ask", help="a question to ranked evidence")
     a.add_argument("index")
-    a.add_argument("question")
+    a.add_argument("question", nargs="?", help="none: questions are read line by line")
     a.add_argument("-k", type=int, default=5)
     a.add_argument("--company")
     a.add_argument("--no-split", action="store_true")
@@ -52,7 +80,11 @@ def main(argv: list[str] | None = None) -> int:
 
         index = spark.read.parquet(f"{o.index}/index")
         postings = index.select("row", F.explode(coverage_tokens(F.lower("embedding_text"))).alias("token")).withColumn("weight", F.lit(0.1))
-        print(render(Engine(spark, index, postings, hashing_encoder()).ask(o.question, o.k, not o.no_split, o.company).collect(), 0 if o.full else 200))
+        engine = Engine(spark, index, postings, hashing_encoder())
+        if o.question is None:
+            repl(engine.ask)
+        else:
+            print(render(engine.ask(o.question, o.k, not o.no_split, o.company).collect(), 0 if o.full else 200))
     return 0
 
 

@@ -76,3 +76,73 @@ def structural_loss(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
 def worst(df: DataFrame, by: list[str], measure: str, n: int, key: str) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(F.desc(measure), key)
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
+def block_text() -> Column:
+    """All text of a block, by spaces."""
+    rows = F.array_join(F.flatten(F.coalesce("rows", F.array().cast("array<array<string>>"))), " ")
+    return F.trim(F.concat_ws(" ", "text", F.array_join(F.coalesce("keys", F.array().cast("array<string>")), " "), "value", F.array_join(F.coalesce("headers", F.array().cast("array<string>")), " "), rows))
+
+
+def value_set(blocks: DataFrame, key: str) -> DataFrame:
+    """key and the distinct values that a document states: cells, keys and values, each also without a date in parentheses behind it."""
+    own = F.concat(F.flatten(F.coalesce("rows", F.array().cast("array<array<string>>"))), F.coalesce("keys", F.array().cast("array<string>")), F.array_compact(F.array("value")))
+    each = blocks.select(key, F.explode(own).alias("value")).filter("value is not null and trim(value) != ''")
+    bare = each.withColumn("value", F.regexp_replace("value", r"\s*\(\d{4}-\d{2}-\d{2}(?: ~ \d{4}-\d{2}-\d{2})?\)$", ""))
+    return each.union(bare).distinct()
+
+
+def with_iso(text: Column, iso: Column) -> Column:
+    """`text (iso)`, unless the text has it already."""
+    return F.when(iso.isNull() | F.contains(text, iso), text).otherwise(F.concat(text, F.lit(" ("), iso, F.lit(")")))
+
+
+def markdown_name(corp: Column, doc_id: Column, suffix: Column) -> Column:
+    from docloom.functions.scalars import safe_filename
+
+    return F.concat(safe_filename(corp), F.lit("_"), doc_id, F.coalesce(suffix, F.lit("")), F.lit(".md"))
+
+
+def old_name(filer: Column, corp: Column) -> Column:
+    """The filer's name if it differs from the company's, legal forms aside."""
+    from docloom.functions.scalars import strip_legal_form
+
+    return F.when((F.trim(filer) != "") & (F.lower(strip_legal_form(filer)) != F.lower(strip_legal_form(corp))), F.trim(filer))
+
+
+def company_in_markup(source: Column) -> Column:
+    """A company name without a parse: the first COMPANY-NAME, else what the title has before its first slash."""
+    tag = F.regexp_extract(source, r"(?is)<company-name[^>]*>(.*?)</company-name>", 1)
+    title = F.regexp_extract(source, r"(?is)<title[^>]*>([^/<]*)", 1)
+    plain = lambda c: F.nullif(F.trim(F.regexp_replace(c, r"<[^>]*>", "")), F.lit(""))
+    return F.coalesce(plain(tag), plain(title))
+
+
+def heading_like(text: Column, bold: Column, centred: Column) -> Column:
+    """A paragraph that is a heading: bold, and centred or begun with a bracket."""
+    return bold & (centred | F.trim(text).rlike(r"^[【\[]"))
+
+
+def document_type(headings: Column) -> Column:
+    """The first heading that ends in 보고서."""
+    return F.get(F.filter(headings, lambda h: F.endswith(F.trim(h), F.lit("보고서"))), F.lit(0))
+
+
+def cover_pairs(text: Column, pattern: str, names: list[str]) -> Column:
+    """A cover page's fields by one pattern's groups in order: all of them, or none."""
+    parts = [F.trim(F.regexp_extract(text, pattern, k + 1)) for k in range(len(names))]
+    return F.when(text.rlike(pattern), F.array(*[F.struct(F.lit(n).alias("field"), p.alias("value")) for n, p in zip(names, parts, strict=True)]))
+
+
+def alias_sets(names: DataFrame, key: str, name: str, excluding: str | None = None) -> DataFrame:
+    """Sorted distinct names for each company; with `excluding`, without that column's name."""
+    rows = names.filter(F.trim(F.coalesce(name, F.lit(""))) != "")
+    if excluding:
+        rows = rows.filter(~F.col(name).eqNullSafe(F.col(excluding)))
+    return rows.groupBy(key).agg(F.array_sort(F.collect_set(name)).alias("aliases"))
+
+
+def worst_checks(checks: DataFrame, group: list[str]) -> DataFrame:
+    """For each group how many checks failed, and the one with the greatest difference."""
+    d = F.abs(F.col("total") - F.col("sum"))
+    return checks.groupBy(*group).agg(F.count("*").alias("n"), F.count_if(F.col("status") == "fail").alias("failed"), F.max_by("name", d).alias("worst"), F.max(d).alias("difference"))

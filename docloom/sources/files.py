@@ -128,3 +128,40 @@ def verify_package(expected: DataFrame, found: DataFrame) -> DataFrame:
 def compact(chunks: DataFrame, skipped: DataFrame, path: str) -> None:
     """The chunks without those of skipped documents, as a new table."""
     write_once(chunks.join(skipped.select("doc_id"), "doc_id", "left_anti"), path)
+
+
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """Chunks of the index contract; a line that is no JSON fails the read."""
+    return spark.read.schema(CHUNK).option("mode", "FAILFAST").json(path)
+
+
+def read_questions(spark: SparkSession, path: str, only: list[str] | None = None, limit: int | None = None) -> DataFrame:
+    df = spark.read.schema(QUESTION).json(path)
+    df = df.filter(F.col("id").isin(only)) if only else df
+    return df.orderBy("id").limit(limit) if limit else df
+
+
+def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Parts of compressed JSON documents, one row each."""
+    return spark.read.schema(schema).json(path).select("*", F.posexplode("parts").alias("part_no", "part")).drop("parts")
+
+
+def write_documents(df: DataFrame, path: str) -> None:
+    df.write.mode("errorifexists").option("compression", "gzip").json(path)
+
+
+def first_by_receipt(index: DataFrame, receipt: str = "rcept_no", order: str = "doc_id") -> DataFrame:
+    """One index row for each receipt, the first by id."""
+    rest = [c for c in index.columns if c != receipt]
+    return index.groupBy(receipt).agg(F.min_by(F.struct(*rest), order).alias("r")).select(receipt, "r.*")
+
+
+def without_skipped(df: DataFrame, skipped: DataFrame | None, key: str = "doc_id") -> DataFrame:
+    return df if skipped is None else df.join(skipped.select(key), key, "left_anti")
+
+
+def sibling_aliases(spark: SparkSession, path: str, prefix: str = "별칭: ") -> DataFrame:
+    """From Markdown files below path, by folder: the longest alias line's names."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).filter(F.startswith("value", F.lit(prefix)))
+    names = F.transform(F.split(F.substring("value", F.lit(len(prefix) + 1), F.length("value")), ","), lambda x: F.trim(x))
+    return lines.select(F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1).alias("folder"), names.alias("names")).groupBy("folder").agg(F.max_by("names", F.size("names")).alias("names"))

@@ -97,3 +97,55 @@ def test_documents(spark):
     assert (p.first().label, p.first().period.begin) == ("제 1 기", "2023-01-02")
     assert documents.ungrounded_dates(p, df.select("doc_id", F.lit("nothing").alias("t")), "doc_id", "t").first().date == "2023-01-02"
     assert tables.sections(b, "doc_id").count() == 1 and documents.diagnostics(df, b, "doc_id", "s").first().n_t == 1
+
+
+def test_small_document_functions(spark):
+    v = lambda c: spark.range(1).select(c.alias("v")).first()["v"]
+    assert v(documents.with_iso(F.lit("2023"), F.lit("2023-01-01"))) == "2023 (2023-01-01)" and v(documents.with_iso(F.lit("x 2023-01-01"), F.lit("2023-01-01"))) == "x 2023-01-01"
+    assert v(documents.markdown_name(F.lit("a/b"), F.lit("d1"), F.lit(None).cast("string"))) == "a_b_d1.md"
+    assert v(documents.old_name(F.lit("주식회사 가나"), F.lit("가나"))) is None and v(documents.old_name(F.lit("옛이름"), F.lit("가나"))) == "옛이름"
+    assert v(documents.company_in_markup(F.lit("<TITLE>가나 / x</TITLE>"))) == "가나" and v(documents.company_in_markup(F.lit("<COMPANY-NAME a='1'><b>다라</b></COMPANY-NAME>"))) == "다라"
+    assert v(documents.document_type(F.array(F.lit("표지"), F.lit("사업보고서")))) == "사업보고서" and v(documents.heading_like(F.lit("【x】"), F.lit(True), F.lit(False)))
+    assert [tuple(x) for x in v(documents.cover_pairs(F.lit("회사: 가 대표: 나"), r"회사: (\S+) 대표: (\S+)", ["c", "d"]))] == [("c", "가"), ("d", "나")]
+    b = markup.parse_blocks(spark.createDataFrame([(1, "<table><tr><td>a (2023-01-01)<td>2<td>3</table>")], "id int, s string"), "id", "s")
+    assert sorted(r.value for r in documents.value_set(b, "id").collect()) == ["2", "3", "a", "a (2023-01-01)"]
+    assert b.select(documents.block_text().alias("t")).first().t == "a (2023-01-01) 2 3"
+    a = documents.alias_sets(spark.createDataFrame([("k", "x", "x"), ("k", "y", "x"), ("k", " ", "x")], "k string, n string, c string"), "k", "n", "c")
+    assert a.first().aliases == ["y"]
+    w = spark.createDataFrame([("g", "r1", 1.0, 5.0, "fail"), ("g", "r2", 1.0, 1.0, "pass")], "g string, name string, total double, sum double, status string")
+    assert tuple(documents.worst_checks(w, ["g"]).first()) == ("g", 2, 1, "r1", 4.0)
+
+
+def test_more_sources(spark, tmp_path):
+    import json
+
+    (tmp_path / "q.jsonl").write_text("\n".join(json.dumps({"id": i, "question": "x"}) for i in ("b", "a", "c")))
+    assert [r.id for r in files.read_questions(spark, str(tmp_path / "q.jsonl"), ["a", "c"], 1).collect()] == ["a"]
+    d = spark.createDataFrame([("d", [("p1",), ("p2",)])], "doc_id string, parts array<struct<part_key:string>>")
+    files.write_documents(d, str(tmp_path / "docs"))
+    assert [(r.part_no, r.part.part_key) for r in files.read_documents(spark, str(tmp_path / "docs"), "doc_id string, parts array<struct<part_key:string>>").orderBy("part_no").collect()] == [(0, "p1"), (1, "p2")]
+    i = spark.createDataFrame([("r", "b", 1), ("r", "a", 2)], "rcept_no string, doc_id string, x int")
+    assert files.first_by_receipt(i).first().doc_id == "a" and files.without_skipped(i, spark.createDataFrame([("a",)], "doc_id string")).count() == 1
+    (tmp_path / "md" / "corp").mkdir(parents=True)
+    (tmp_path / "md" / "corp" / "1.md").write_text("# x\n별칭: a, b\n")
+    (tmp_path / "md" / "corp" / "2.md").write_text("별칭: c\n")
+    assert files.sibling_aliases(spark, str(tmp_path / "md")).first().names == ["a", "b"]
+    key = spark.createDataFrame([("d", "20240101000001", "/x/corp/20240101000001_00760.xml"), ("d", "20240101000001", "/x/20240101000001.xml")], "d string, r string, p string")
+    assert [r.k for r in key.select(files.part_key(F.col("d"), F.col("r"), F.col("p")).alias("k")).collect()] == ["d_00760", "d"]
+
+
+def test_repl():
+    from docloom.__main__ import repl
+
+    lines, said, asked = iter(["/company A", "/k 2", "what", "/bad", "/reset", "why", "/q", "never"]), [], []
+
+    class Rows:
+        def collect(self):
+            return []
+
+    def ask(q, k, company=None):
+        asked.append((q, k, company))
+        return Rows()
+
+    repl(ask, lambda _: next(lines), said.append)
+    assert asked == [("what", 2, "A"), ("why", 5, None)] and "unknown command /bad" in said
