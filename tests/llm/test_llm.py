@@ -389,3 +389,14 @@ def test_packing_with_ids(spark, awkward):
     docs = spark.read.parquet(f"{awkward[0]}/documents.parquet")
     rows = packing.pack_documents(docs).collect()
     assert all(len(r["ids"]) == r.length and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r.ids_crc32 for r in rows)
+
+
+def test_token_files_skip_by_id(spark, awkward, tmp_path):
+    path = str(tmp_path / "t")
+    token_orc.write_tokens(spark.read.parquet(f"{awkward[0]}/documents.parquet"), path)
+    found = token_orc.read_tokens(spark, path, [3, 5])
+    assert sorted(r.doc_id for r in found.collect()) == [3, 5, 5, 5]
+    plan = found._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(doc_id, [3,5])]" in plan
+    digest = token_orc.read_tokens(spark, path).groupBy("part").count()._jdf.queryExecution().toString()
+    assert "ids:array" not in digest.split("ReadSchema: ")[1]
