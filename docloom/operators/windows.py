@@ -55,6 +55,15 @@ def split_rows(rows: Column, size: int = 40) -> Column:
     return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / size).cast("int") - 1)), lambda i: F.struct(i.alias("piece"), F.slice(rows, i * size + 1, F.lit(size)).alias("rows"), F.when(n > size, F.concat((i * size + 1).cast("string"), F.lit("-"), F.least(n, (i + 1) * size).cast("string"))).alias("note")))
 
 
+def row_pieces(df: DataFrame, by: list[str], order: list[str], size: int = 40) -> DataFrame:
+    """The same for tables of one row to a line: adds piece and note, with sorts that spill and nothing collected."""
+    w = Window.partitionBy(*by)
+    df = df.withColumn("__i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("__n", F.count("*").over(w))
+    piece = F.floor(F.col("__i") / size)
+    note = F.when(F.col("__n") > size, F.concat((piece * size + 1).cast("string"), F.lit("-"), F.least(F.col("__n"), (piece + 1) * size).cast("string")))
+    return df.withColumn("piece", piece).withColumn("note", note).drop("__i", "__n")
+
+
 def attach_direction(kind: Column, before: Column, after: Column) -> Column:
     """Where a caption belongs: a unit to the table behind it or else before; a footnote the other way round."""
     unit = F.when(after, "next").when(before, "prev")

@@ -68,10 +68,8 @@ SELECT l_suppkey, CAST(pos // 40 AS BIGINT) AS piece, count(*) AS n_rows, sum(l_
        CASE WHEN max(n) > 40 THEN (pos // 40 * 40 + 1)::VARCHAR || '-' || least(max(n), pos // 40 * 40 + 40)::VARCHAR END AS note FROM o GROUP BY l_suppkey, pos // 40""",
 )
 def split_40(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    g = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.array_sort(F.collect_list(order)).alias("rows"))
-    p = g.select("l_suppkey", F.explode(W.split_rows(F.col("rows"))).alias("p"))
-    return p.select("l_suppkey", F.col("p.piece").cast("long").alias("piece"), F.size("p.rows").cast("long").alias("n_rows"), F.aggregate(F.transform("p.rows", lambda r: r["l_orderkey"]), F.lit(0).cast("long"), lambda s, x: s + x).alias("keys"), F.col("p.note").alias("note"))
+    rows = W.row_pieces(table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"), ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"])
+    return rows.groupBy("l_suppkey", "piece").agg(F.count("*").alias("n_rows"), F.sum("l_orderkey").alias("keys"), F.max("note").alias("note"))
 
 
 @query(
