@@ -19,18 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import blocks, documents, id_and_text, take_ragged
-from .tokens import CACHE_WORDS, PIECE, WordIds, _loaded, default_path
+from .tokens import CACHE_WORDS, ENCODE_BYTES, PIECE, WordIds, _loaded, byte_letters, default_path
 
 NONE = np.int32(2**31 - 1)
 
 
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte in the vocabulary: printable bytes for themselves, the others from U+0100 on."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    rest = iter(range(0x100, 0x200))
-    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
-
-
 class NumpyBPE(WordIds):
     def __init__(self, path: str, cache: int = CACHE_WORDS, piece: int = PIECE):
         super().__init__(cache, piece)
@@ -144,7 +137,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     path = tokenizer or default_path()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, ENCODE_BYTES):
             ids, at = numpy_bpe(path).encode(block.column(1))
             yield pa.RecordBatch.from_arrays([block.column(0), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))], ["doc_id", "ids"])
 
@@ -172,7 +165,7 @@ def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = numpy_bpe(path)
-        for block in blocks(batches):
+        for block in blocks(batches, ENCODE_BYTES):
             ids, at = coder.encode(block.column(1))
             ids_sha = [hashlib.sha256(x).hexdigest() for x in coder.decimals(ids, at)]
             decoded = [hashlib.sha256(x.encode()).hexdigest() for x in coder.decode(ids, at)]

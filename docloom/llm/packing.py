@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import blocks, documents, id_and_text
-from .tokens import default_path, library_ids
+from .tokens import ENCODE_BYTES, default_path, library_ids
 
 TIERS = (128, 256, 512, 1024)
 #: Tokens that are packed together, and tokens of a step group.
@@ -152,7 +152,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
                 yield pa.RecordBatch.from_arrays(arrays, names + ["ids"] * with_ids)
 
         docs_type = pa.int64()
-        for block in blocks(batches):
+        for block in blocks(batches, ENCODE_BYTES):
             docs_type = block.column(0).type
             ids, at = encoder.encode(block.column(1))
             ids = np.insert(ids, at[1:], end_id).astype("<u4")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import blocks, documents, id_and_text, scratch_path
-from .tokens import default_path, library_ids
+from .tokens import ENCODE_BYTES, default_path, library_ids
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 
@@ -24,7 +24,7 @@ SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 def _encode(path: str, end_id: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, start = library_ids(path), TaskContext.get().partitionId(), 0
-        for block in blocks(batches):
+        for block in blocks(batches, ENCODE_BYTES):
             ids, at = encoder.encode(block.column(1))
             ids = np.insert(ids, at[1:], end_id).astype(np.int32)
             at = at + np.arange(len(at))

@@ -1,7 +1,8 @@
 """Byte-level BPE ids of whole texts, by words: each distinct word is encoded once and then looked up.
 
 Texts are cut into words over their bytes in numpy and numbered by Arrow's dictionary encoding, so that
-Python sees only the distinct words of a block.
+Python sees only the distinct words of a block. A byte-level BPE merges within words only, so that the
+ids of a text are those of its words.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from .common import take_ragged, text_bytes
 #: The split rule of the public byte-level BPE vocabularies, which cut() follows.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
-#: Words kept in a worker's cache before it starts anew; it bounds memory and changes no result.
-CACHE_WORDS = 600_000
+#: Words in a worker's cache before those met once are dropped; it bounds memory and changes no result.
+CACHE_WORDS = 350_000
+#: Bytes of texts that are encoded together.
+ENCODE_BYTES = 2_000_000
 #: Bytes that are cut into words at once, about.
 PIECE = 4 << 20
 #: A place at which any text may be cut without changing its words: before a space between two ASCII letters.
@@ -35,6 +38,13 @@ def default_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in the vocabulary: printable bytes for themselves, the others from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
 @cache
 def classes() -> np.ndarray:
     """OTHER, LETTER, NUMBER or BLANK for each code point."""
@@ -107,9 +117,21 @@ class WordIds:
 
     def _clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.done = 0
+        self.done, self.met = 0, np.zeros(0, np.int64)
         self.flat, self.at = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
 
+    def _thin(self) -> None:
+        """Drops words that were met once of late, and the least met beyond half of the cache."""
+        keep = np.flatnonzero(self.met[: self.done] > 1)
+        if len(keep) > self.cache // 2:
+            keep = np.sort(keep[np.argsort(-self.met[keep], kind="stable")[: self.cache // 2]])
+        words = list(self.index)
+        met, (flat, lengths) = self.met[keep] // 2, take_ragged(self.flat, self.at, keep)
+        self._clear()
+        self.index = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.done, self.met, self.flat = len(keep), met, flat
+        self.at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, one after another, and their numbers."""
         raise NotImplementedError
@@ -142,17 +164,23 @@ class WordIds:
         while a < len(bounds) - 1:
             b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + 2 * self.piece, side="right")) - 1)
             if len(self.index) > self.cache:
-                self._clear()
+                self._thin()
             part = raw[bounds[a] : bounds[b]]
             own = bounds[a : b + 1] - bounds[a]
             words = cut(part, own[:-1])
             column = pa.Array.from_buffers(pa.large_binary(), len(words) - 1, [None, pa.py_buffer(words), pa.py_buffer(part)]).dictionary_encode()
-            index = self.index
-            number = np.array([index.setdefault(w, len(index)) for w in column.dictionary.to_pylist()], np.int64)
+            index, distinct = self.index, column.dictionary.to_pylist()
+            found = list(map(index.get, distinct))
+            for i in [i for i, n in enumerate(found) if n is None]:
+                found[i] = index[distinct[i]] = len(index)
+            number = np.array(found, np.int64)
             self._learn()
             rows = number[column.indices.to_numpy()] if len(number) else np.zeros(0, np.int64)
+            self.met = np.concatenate([self.met, np.zeros(len(self.index) - len(self.met), np.int64)])
+            self.met += np.bincount(rows, minlength=len(self.index))
             ids, lengths = take_ragged(self.flat, self.at, rows)
             ends = np.concatenate([[0], np.cumsum(lengths)])
+            pa.default_memory_pool().release_unused()
             out.append(ids)
             place.append(total + ends[np.searchsorted(words, own[1:])])
             total, a = total + len(ids), b
@@ -205,33 +233,20 @@ class LibraryIds(WordIds):
         if spec["normalizer"] or (split.get("type"), split.get("add_prefix_space"), split.get("use_regex")) != ("ByteLevel", False, True):
             raise ValueError("a byte-level BPE without normalizer is needed")
         self.added = re.compile(b"|".join(re.escape(x["content"].encode()) for x in spec["added_tokens"])) if spec["added_tokens"] else None
-        vocab = self.library.get_vocab(with_added_tokens=False)
-        self.size = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token: one letter stands for a byte
-        self.size[list(vocab.values())] = list(map(len, vocab))
-
-    def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())), lengths
+        self.letters = np.array(list(map(ord, byte_letters())), np.uint32)
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Words of a space and letters are encoded many in a text: each stays a word there, as the bytes of its ids show."""
-        texts = [w.decode() for w in words]
-        plain = [i for i, w in enumerate(texts) if w[0] == " " and w[1:].isalpha()]
-        sizes = np.fromiter((len(words[i]) for i in plain), np.int64, len(plain))
-        ids, _ = self._flat(["".join([texts[i] for i in plain[a : a + 256]]) for a in range(0, len(plain), 256)])
-        ends, token_ends = np.cumsum(sizes), np.cumsum(self.size[ids])
-        at = np.searchsorted(token_ends, ends)
-        if len(plain) and (at[-1] >= len(ids) or not np.array_equal(token_ends[at], ends)):
-            return self._flat(texts)
-        rest = np.ones(len(words), bool)
-        rest[plain] = False
-        rest = np.flatnonzero(rest)
-        more, lengths = self._flat([texts[i] for i in rest])
-        order = np.argsort(np.concatenate([np.array(plain, np.int64), rest]))
-        counts = np.concatenate([np.diff(np.concatenate([[0], at + 1])) if len(plain) else np.zeros(0, np.int64), lengths])
-        flat, counts = take_ragged(np.concatenate([ids, more]), np.concatenate([[0], np.cumsum(counts)]).astype(np.int64), order)
-        return flat, counts
+        """The library's model on each word, in the letters that stand for its bytes."""
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        letters, encode = self.letters[raw].tobytes().decode("utf-32-le"), self.library.model.tokenize
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))).tolist()
+        flat, counts, start = [], [], 0
+        for end in ends:
+            found = encode(letters[start:end])
+            counts.append(len(found))
+            flat += [x.id for x in found]
+            start = end
+        return np.array(flat, np.int32), np.array(counts, np.int64)
 
     def special(self, text: bytes) -> list[tuple[bytes, int | None]] | None:
         if self.added is None or not self.added.search(text):
