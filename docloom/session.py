@@ -24,11 +24,18 @@ def session(master: str | None = None, **more: str) -> SparkSession:
     return (builder.master(master) if master else builder).getOrCreate()
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends the package to the Python workers, once for each application; they may not have it installed."""
+    """Sends the package to the Python workers, once for each application; they may not have it installed.
+
+    Arrow batches are held to 16 MB unless the session says otherwise: each is in the memory of the
+    executor and of its Python worker at once.
+    """
+    if spark.conf.get(BATCH_BYTES) == "67108864b":  # Spark's own default
+        spark.conf.set(BATCH_BYTES, "16m")
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
