@@ -108,14 +108,17 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, *more: F.Column) -> DataFrame:
-    """doc_id, further columns, fp, and component_id: the smallest doc_id that links reach."""
+    """doc_id, further columns, fp, root: the component's least fingerprint, and component_id: the smallest doc_id that links reach.
+
+    Components may share a component_id (null ids, an id on rows with different texts), but never a root.
+    """
     prints = write_table(fingerprints(docs, *more), "fingerprints")
     distinct = write_table(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     member = components(links(distinct.select("fp"), max_bits))
     # few fingerprints have links: the others are components of their own
     linked = distinct.join(member, distinct["fp"] == member["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     classes = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = linked.join(classes, "root").select("fp", "component_id")
+    ids = linked.join(classes, "root").select("fp", "root", "component_id")
     return prints.join(ids, "fp")
 
 
@@ -128,7 +131,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest doc_id, of repeated rows one."""
     tie = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     found = near_duplicates(docs, MAX_BITS, tie.alias("tie"))
-    kept = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("k"))
+    kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("k"))
     id_of = lambda c: [F.coalesce(c, F.lit(0)).alias("__id"), c.isNull().alias("__none")]  # noqa: E731  plain keys, so that the join and the window share one exchange
     keys = ["__id", "__none", "__tie"]
     kept = kept.select(*id_of(F.col("k.doc_id")), F.col("k.tie").alias("__tie"))

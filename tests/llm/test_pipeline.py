@@ -63,5 +63,16 @@ def test_repeated_rows_leave_one(spark, sf_dir):
     assert len(got) == len({plain_fingerprint(t or "") for _, t in rows if True} and set(comp))
 
 
+def test_unlinked_texts_with_one_id_stay(spark, sf_dir):
+    """Components are of texts: neither null ids nor an id on different texts merges them."""
+    texts = [" ".join(f"{w}{i}" for i in range(80)) for w in "abcde"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3]), (9, texts[4]), (None, texts[4])]
+    random.Random(2).shuffle(rows)
+    assert len({plain_fingerprint(t) for t in texts}) == 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.STAGES[2][1](spark, docs, sf_dir).collect()]
+    assert sorted(got, key=lambda r: r[1]) == list(zip([None, None, 7, 7, 9], texts, strict=True))
+
+
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
