@@ -2,9 +2,8 @@
 
 Words are counted over all training documents. The most frequent ones (VOCABULARY) are the network's
 words. It is trained in numpy by truncated backpropagation: first on whole texts (MAX_DOCS, by a hash
-of the id), then, from there, by every partition on a window of each training document (REFINE words
-at a place that a hash of the text gives), and the partitions' parameters are averaged by the numbers
-of windows. A document is read from its beginning to its end with the
+of the id), then, from there, by every partition on all words of each training document, in windows
+of REFINE words, and the partitions' parameters are averaged by the numbers of windows. A document is read from its beginning to its end with the
 state carried from window to window. A word outside the vocabulary has the probability that the
 network gives to any such word, times its share in the smoothed counts of those words. Counts of all
 but the HELD most frequent words stay distributed and are joined to the rare words of documents.
@@ -16,7 +15,6 @@ rows all counts are zero.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -28,13 +26,13 @@ from pyspark.sql import functions as F
 
 from docloom.session import ship
 
-from .common import blocks, documents, id_and_text, remainder, smallest_hashes, text_bytes, write_table
+from .common import blocks, documents, id_and_text, remainder, smallest_hashes, write_table
 from .simhash import LOWER
 
 #: Words of the network; words whose counts every task holds; documents that the network is trained on.
 VOCABULARY, HELD, MAX_DOCS = 2048, 100_000, 3000
 HIDDEN, WINDOW = 24, 64
-#: Words of a document's window in the second part of training, and windows of a step.
+#: Words of a window in the second part of training, and windows of a step.
 REFINE, REFINE_BATCH = 48, 64
 #: Bytes of texts that are read side by side.
 LOCKSTEP_BYTES = 12_000_000
@@ -377,29 +375,21 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
 
 
 def window_columns(batches: Iterable[pa.RecordBatch], reader: Reader, size: int = REFINE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Inputs and targets of `size` words: a window of each long text, and short texts behind one another, the end between them."""
-    end, short = reader.model.end, [reader.model.end]
+    """Inputs and targets of `size` words: all texts behind one another, each with its end, cut into windows, so that every word is a target.
+
+    The last window ends with the last text, and so may begin within its predecessor; it is shorter only if all texts are.
+    """
+    before, rest = np.array([], np.int32), np.array([reader.model.end], np.int32)
     for block in blocks(batches):
-        raw, at = text_bytes(block.column(1))
-        data = raw.tobytes()
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            reach = 24 * (size + 2)
-            if b - a <= reach:
-                words, first, last = data[a:b].translate(LOWER).split(), True, True
-            else:
-                start = a + zlib.crc32(data[a:b]) % (b - a - reach + 1)
-                words, first, last = data[start : start + reach].translate(LOWER).split(), start == a, start + reach == b
-                words = words[0 if first else 1 : len(words) if last else -1]  # the cut may run through words
-            row = reader.network_row(reader.numbers(words))
-            row = np.concatenate([[end], row]) if first else row
-            row = row if last else row[:-1]
-            if len(row) > size:
-                yield row[:size], row[1 : size + 1]
-            elif first and last:
-                short += row[1:].tolist()
-                while len(short) > size:
-                    yield np.array(short[:size]), np.array(short[1 : size + 1])
-                    short = short[size:]
+        for text in block.column(1).to_pylist():
+            row = np.concatenate([rest, reader.network_row(reader.numbers(words_of(text)))])
+            n = (len(row) - 1) // size
+            for a in range(0, n * size, size):
+                yield row[a : a + size], row[a + 1 : a + size + 1]
+            before, rest = row[(n - 1) * size : n * size] if n else before, row[n * size :]
+    if len(rest) > 1:
+        row = np.concatenate([before, rest])[-size - 1 :]
+        yield row[:-1], row[1:]
 
 
 def refine(docs: DataFrame, model: Model) -> None:

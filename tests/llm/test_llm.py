@@ -385,6 +385,21 @@ def test_refining_covers_all_documents(spark, sf_dir, texts):
     assert lm.Reader(model).model.network.score(held, model.end).sum() < 0
 
 
+@pytest.mark.parametrize("rows", [["a b c"], ["a b c d " * 4], ["", "a b", " ".join(f"w{i}" for i in range(60)), None, "x" * 9000, "y" * 700 + " z" * 40, " ".join(f"v{i}" for i in range(900))]])
+def test_refining_trains_on_every_word(rows):
+    words = sorted({w for t in rows for w in lm.words_of(t or "")})
+    reader = lm.Reader(lm.Model.new([*words, lm.END], np.ones(len(words) + 1, np.int64), len(words) + 1, len(words) + 1))
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([t or "" for t in rows])], ["doc_id", "text"])
+    columns = list(lm.window_columns([batch], reader, 16))
+    stream = np.concatenate([reader.network_row(reader.numbers(lm.words_of(t or ""))) for t in rows])
+    full = len(stream) // 16 * 16
+    targets = np.concatenate([y for _, y in columns])
+    assert len(columns) == -(-len(stream) // 16) and (targets[:full] == stream[:full]).all() and (targets[-16:] == stream[-16:]).all()
+    assert all((x[1:] == y[:-1]).all() for x, y in columns)
+
+
 def test_packing_with_ids(spark, awkward):
     docs = spark.read.parquet(f"{awkward[0]}/documents.parquet")
     rows = packing.pack_documents(docs).collect()
