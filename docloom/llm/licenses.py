@@ -1,6 +1,7 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-Lines, and paragraphs of several lines, that hold an anchor word are candidates. A sparse multinomial
+Lines, and paragraphs of several lines, that hold an anchor word are candidates; of a long paragraph,
+windows of neighbouring lines around each anchor. A sparse multinomial
 logistic regression on hashed word n-grams gives them a licence family or the unknown class; its
 probabilities are calibrated by a temperature. A prediction counts if its probability reaches
 MIN_PROBABILITY and a template of that family is contained in the paragraph by MIN_CONTAINED; others
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import blocks, documents, id_and_text
 
 BITS, MIN_PROBABILITY, MIN_CONTAINED, LONGEST = 14, 0.5, 0.6, 400
+#: Characters on each side of an anchor in a long line or paragraph, and lines on a side of its windows.
+REACH, STEPS = 600, (0, 1, 2, 3, 5, 8, 12, 20)
 UNKNOWN = "unknown"
 ANCHOR = re.compile(r"licen[cs]|copyright|\(c\) ?\d{4}|spdx|warrant|all rights reserved|public domain|redistribut|permission|creative commons", re.I)
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
@@ -154,7 +157,7 @@ def trained(epochs: int = 6, rate: float = 0.5, decay: float = 1e-5) -> Classifi
 
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Begin and end of each line with an anchor, and of each paragraph of several lines (LONGEST words at most) with one."""
+    """Begin and end of each line with an anchor, and of each paragraph of several lines (8 * LONGEST characters at most) with one."""
     seen = None
     for m in ANCHOR.finditer(text):
         a, b = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.end())
@@ -169,20 +172,59 @@ def candidates(text: str) -> Iterator[tuple[int, int]]:
             yield whole
 
 
+def _neighbours(text: str, a: int, b: int) -> tuple[list[int], list[int]]:
+    """Begins of the lines before and ends of the lines behind the line from a to b, the nearest first, by STEPS, within REACH and the paragraph."""
+    begins, ends = [a], [b]
+    while begins[-1] and (x := text.rfind("\n", 0, begins[-1] - 1) + 1) >= a - REACH and x < begins[-1] - 1:
+        begins.append(x)
+    while ends[-1] < len(text):
+        y = text.find("\n", ends[-1] + 1)
+        y = len(text) if y < 0 else y
+        if y > b + REACH or y <= ends[-1] + 1:
+            break
+        ends.append(y)
+    return [begins[i] for i in STEPS if i < len(begins)], [ends[i] for i in STEPS if i < len(ends)]
+
+
+def wrapped(text: str, model: Classifier) -> Iterator[tuple[int, int, str, float, float]]:
+    """The best window of neighbouring lines around each anchor in a paragraph too long to be read whole."""
+    seen = None
+    for m in ANCHOR.finditer(text):
+        a, b = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.end())
+        b = len(text) if b < 0 else b
+        if (a, b) == seen or b - a > 8 * LONGEST:
+            continue
+        seen = a, b
+        first, last = text.rfind("\n\n", 0, m.start()), text.find("\n\n", m.end())
+        if (len(text) if last < 0 else last) - (first + 2 if first >= 0 else 0) <= 8 * LONGEST:
+            continue
+        begins, ends = _neighbours(text, a, b)
+        # a part of the widest window has no more of a template than that has
+        if max(contained_in(text[begins[-1] : ends[-1]], f) for f in TEMPLATES) < MIN_CONTAINED:
+            continue
+        found = [(c, p, x - y, x, y, f) for x in begins for y in ends if y - x > b - a for f, p, c in [model.classify(text[x:y])] if f != UNKNOWN]
+        if found:
+            c, p, _, x, y, f = max(found)
+            yield x, y, f, p, c
+
+
 def find(text: str, model: Classifier | None = None) -> list[tuple[int, int, str, float, float]]:
     """Spans with their family, probability and share of the template; a span inside a like one is left out."""
     model, out = model or trained(), []
     for a, b in sorted(set(candidates(text)), key=lambda s: (s[0], -s[1])):
         part = text[a:b]
         if len(part) > 8 * LONGEST:  # a long line: what stands around its anchors
-            parts = sorted({(max(a, a + m.start() - 600), min(b, a + m.end() + 600)) for m in ANCHOR.finditer(part)})
+            parts = sorted({(max(a, a + m.start() - REACH), min(b, a + m.end() + REACH)) for m in ANCHOR.finditer(part)})
         else:
             parts = [(a, b)]
         for x, y in parts:
             family, p, contained = model.classify(text[x:y])
             if family != UNKNOWN and not any(f == family and s <= x and y <= e for s, e, f, *_ in out):
                 out.append((x, y, family, p, contained))
-    return out
+    for span in sorted(wrapped(text, model), key=lambda s: (-s[4], -s[3], s[1] - s[0], s[0])):
+        if not any(f == span[2] and s < span[1] and span[0] < e for s, e, f, *_ in out):
+            out.append(span)
+    return sorted(out, key=lambda s: (s[0], -s[1]))
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("contained", pa.float64())])

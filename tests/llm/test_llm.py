@@ -356,6 +356,18 @@ def test_licenses(text, family):
     assert [f for _, _, f, *_ in found] == [family]
 
 
+@pytest.mark.parametrize("family,which,width", [("mit", 4, 40), ("mit", 4, 70), ("gpl-3.0", 3, 60), ("bsd", 3, 70), ("isc", 2, 70)])
+def test_wrapped_license_in_a_long_document(family, which, width):
+    import textwrap
+
+    lines = textwrap.wrap(licenses.TEMPLATES[family][which], width)
+    prose = [f"the river ran along line {i} and the people went by the old mill" for i in range(120)]
+    text = "\n".join([*prose[:60], *lines, *prose[60:]])
+    found = licenses.find(text)
+    at = text.index(lines[0])
+    assert [f for _, _, f, *_ in found] == [family] and found[0][0] < at + len("\n".join(lines)) and at < found[0][1]
+
+
 def test_no_licenses():
     assert not [t for t in licenses.OTHERS + ["", "The license of the horse was new", "copyright"] if licenses.find(t)]
 
