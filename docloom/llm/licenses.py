@@ -1,6 +1,7 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-Lines, and paragraphs of several lines, that hold an anchor word are candidates; of a long paragraph,
+Lines, and paragraphs of several lines, that hold an anchor word are candidates: the anchors are taken
+from the templates so that no text without one can be confirmed. Of a long paragraph,
 windows of neighbouring lines around each anchor. A sparse multinomial
 logistic regression on hashed word n-grams gives them a licence family or the unknown class; its
 probabilities are calibrated by a temperature. A prediction counts if its probability reaches
@@ -31,7 +32,7 @@ BITS, MIN_PROBABILITY, MIN_CONTAINED, LONGEST = 14, 0.5, 0.6, 400
 #: Characters on each side of an anchor in a long line or paragraph, and lines on a side of its windows.
 REACH, STEPS = 600, (0, 1, 2, 3, 5, 8, 12, 20)
 UNKNOWN = "unknown"
-ANCHOR = re.compile(r"licen[cs]|copyright|\(c\) ?\d{4}|spdx|warrant|all rights reserved|public domain|redistribut|permission|creative commons", re.I)
+STEMS = r"licen[cs]|copyright|\(c\) ?\d{4}|spdx|warrant|all rights reserved|public domain|redistribut|permission|creative commons"
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
 #: Customary licence notices by family.
@@ -51,6 +52,8 @@ TEMPLATES = {
     "cc0": ["released under cc0 1.0", "dedicated to the public domain", "this work has been dedicated to the public domain under the creative commons cc0 waiver"],
     "proprietary": ["copyright all rights reserved", "all rights reserved no part of this work may be reproduced without written permission", "proprietary and confidential unauthorized copying is strictly prohibited"],
 }
+#: Words of templates that are too frequent to be anchors, unless a template has no others.
+COMMON = frozenset("a all and any are as at be been by can for from has have in is it its may no not of on or part person that the this to under use version with without work you your".split())
 #: Sentences with anchor words that state no licence.
 OTHERS = [
     "he lost his driving license last year and had to apply again", "the city council will license new taxis next spring", "a fishing license costs more for visitors than for residents", "the court discussed copyright law and its history", "with the permission of the owner we entered the garden",
@@ -70,6 +73,23 @@ def features(text: str) -> np.ndarray:
     return np.unique(np.fromiter((zlib.crc32(g.encode()) & ((1 << BITS) - 1) for g in grams(text)), np.int64))
 
 
+def anchor_words() -> list[str]:
+    """Words, beside STEMS, of which any text that holds MIN_CONTAINED of a template's word pairs has one or a stem."""
+    found: set[str] = set()
+    for texts in TEMPLATES.values():
+        for t in texts:
+            pairs = {g for g in grams(t) if g.count(" ") == 1}
+            words = {w for g in pairs for w in g.split()}
+            met = lambda g: any(w in found or re.search(STEMS, w) for w in g.split())
+            while sum(not met(g) for g in pairs) >= MIN_CONTAINED * len(pairs):
+                left = [g for g in pairs if not met(g)]
+                found.add(max((w for w in words if any(w in g.split() for g in left)), key=lambda w: (w not in COMMON and not w[0].isdigit(), sum(w in g.split() for g in left), len(w), w)))
+    return sorted(found)
+
+
+ANCHOR = re.compile(f"{STEMS}|(?<![a-z0-9])(?:{'|'.join(map(re.escape, anchor_words()))})(?![a-z0-9])", re.I)
+
+
 def _variants(text: str, rng: np.random.Generator, n: int) -> Iterator[str]:
     frame = ["this project is", "the source code is", "see the file for details", "copyright 2021 the authors", "unless stated otherwise", "please note", "all files", "more on the web page", "", ""]
     yield text
@@ -202,9 +222,9 @@ def wrapped(text: str, model: Classifier) -> Iterator[tuple[int, int, str, float
         # a part of the widest window has no more of a template than that has
         if max(contained_in(text[begins[-1] : ends[-1]], f) for f in TEMPLATES) < MIN_CONTAINED:
             continue
-        found = [(c, p, x - y, x, y, f) for x in begins for y in ends if y - x > b - a for f, p, c in [model.classify(text[x:y])] if f != UNKNOWN]
+        found = [(c, x - y, p, x, y, f) for x in begins for y in ends if y - x > b - a for f, p, c in [model.classify(text[x:y])] if f != UNKNOWN]
         if found:
-            c, p, _, x, y, f = max(found)
+            c, _, p, x, y, f = max(found)
             yield x, y, f, p, c
 
 
@@ -221,9 +241,17 @@ def find(text: str, model: Classifier | None = None) -> list[tuple[int, int, str
             family, p, contained = model.classify(text[x:y])
             if family != UNKNOWN and not any(f == family and s <= x and y <= e for s, e, f, *_ in out):
                 out.append((x, y, family, p, contained))
-    for span in sorted(wrapped(text, model), key=lambda s: (-s[4], -s[3], s[1] - s[0], s[0])):
-        if not any(f == span[2] and s < span[1] and span[0] < e for s, e, f, *_ in out):
-            out.append(span)
+    windows: list = []
+    for x, y, family, p, contained in sorted(wrapped(text, model), key=lambda s: (-s[4], s[1] - s[0], -s[3], s[0])):
+        if any(f == family and s < y and x < e for s, e, f, *_ in out + windows):
+            continue
+        own = text[x:y]
+        for s, e, *_ in sorted(windows, reverse=True):  # what a better window explains confirms no other family
+            if s < y and x < e:
+                own = own[: max(0, s - x)] + "\n" + own[max(0, e - x) :]
+        if contained_in(own, family) >= MIN_CONTAINED:
+            windows.append((x, y, family, p, contained))
+    out += windows
     return sorted(out, key=lambda s: (s[0], -s[1]))
 
 

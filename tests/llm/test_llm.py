@@ -356,6 +356,19 @@ def test_licenses(text, family):
     assert [f for _, _, f, *_ in found] == [family]
 
 
+@pytest.mark.parametrize("family,text", [(f, t) for f, texts in licenses.TEMPLATES.items() for t in texts] + [("cc-by-sa", "CC BY-SA 4.0")])
+def test_each_template_is_found_alone(family, text):
+    for whole in (text, text.capitalize() + ".", f"The mill stood by the river.\n{text}\nPeople went by."):
+        assert [f for _, _, f, *_ in licenses.find(whole)] == [family]
+
+
+def test_no_text_without_an_anchor_can_be_confirmed():
+    for family, texts in licenses.TEMPLATES.items():
+        for t in texts:
+            pairs = {g for g in licenses.grams(t) if g.count(" ") == 1}
+            assert sum(not licenses.ANCHOR.search(g) for g in pairs) < licenses.MIN_CONTAINED * len(pairs), (family, t)
+
+
 @pytest.mark.parametrize("family,which,width", [("mit", 4, 40), ("mit", 4, 70), ("gpl-3.0", 3, 60), ("bsd", 3, 70), ("isc", 2, 70)])
 def test_wrapped_license_in_a_long_document(family, which, width):
     import textwrap
