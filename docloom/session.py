@@ -48,8 +48,10 @@ def ship(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> None:
-    """checkpoint() writes to the folder of spark.checkpoint.dir; a temporary one only where none is set (tests)."""
+    """checkpoint() writes to the folder of spark.checkpoint.dir; where none is set, a temporary one on one machine, and an error on a cluster."""
     if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.conf.set("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='docloom-')}")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
