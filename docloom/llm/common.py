@@ -26,9 +26,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share; where none is set, a temporary one on one machine, and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='docloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -50,11 +52,18 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: writes df as Parquet in the shared folder and reads it back."""
+def write_table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Cuts lineage: writes df as Parquet in the shared folder, in a folder for each value of `by`, and reads it back."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def drop_table(table: DataFrame) -> None:
+    """Removes what write_table() wrote, once nothing reads it any more."""
+    _remove(table.sparkSession, table._written)
 
 
 def remainder(doc_id: Column, mod: int) -> Column:

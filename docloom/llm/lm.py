@@ -1,20 +1,27 @@
 """Language-model scoring: a gated recurrent network with a class-factored softmax, and unigram counts.
 
 Words are counted over all training documents. The most frequent ones (VOCABULARY) are the network's
-words. It is trained in numpy by truncated backpropagation: first on whole texts (MAX_DOCS, by a hash
-of the id), then, from there, by every partition on all words of each training document, in windows
-of REFINE words, and the partitions' parameters are averaged by the numbers of windows. A document is read from its beginning to its end with the
-state carried from window to window. A word outside the vocabulary has the probability that the
-network gives to any such word, times its share in the smoothed counts of those words. Counts of all
-but the HELD most frequent words stay distributed and are joined to the rare words of documents.
+words. It is trained in numpy by truncated backpropagation on every word of every training document:
+documents go by a hash to ROUNDS rounds and within a round to shards of about SHARD_WORDS words, so that
+neither depends on how the table is split. A shard reads its documents in the order of their hashes, in
+lanes side by side, window after window with the state carried on; the parameters of a round's shards
+are averaged by their words, and the next round goes on from there. A document is scored from its
+beginning to its end with the state carried from window to window. A word outside the vocabulary has
+the probability that the network gives to any such word, times its share in the smoothed counts of
+those words. Counts of all but the HELD most frequent words stay distributed and are joined to the rare
+words of documents.
 
 Nulls: a null text is empty, which has one token, the end; a null doc_id counts as crc32 of the empty
-text and stays null. Repeated rows are scored each. An empty table gives no rows; with no training
-rows all counts are zero.
+text and stays null. Repeated rows are scored each, and trained on each: the k-th repeat that a task
+meets has a hash of its own, so that a row repeated without end does not fill one shard (only there may
+the split of the table show in a score). Texts of any length are read whole; only their numbers, two
+bytes a word, are held at once. Ties in counts are broken by the word. An empty table gives no rows;
+with no training rows all counts are zero.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -26,16 +33,20 @@ from pyspark.sql import functions as F
 
 from docloom.session import ship
 
-from .common import blocks, documents, id_and_text, remainder, smallest_hashes, write_table
+from .common import blocks, documents, drop_table, id_and_text, remainder, write_table
 from .simhash import LOWER
 
-#: Words of the network; words whose counts every task holds; documents that the network is trained on.
-VOCABULARY, HELD, MAX_DOCS = 2048, 100_000, 3000
-HIDDEN, WINDOW = 24, 64
-#: Words of a window in the second part of training, and windows of a step.
-REFINE, REFINE_BATCH = 48, 64
-#: Bytes of texts that are read side by side.
-LOCKSTEP_BYTES = 12_000_000
+#: Words of the network (with the end and "any other" they fit 16 bits); words whose counts every task holds.
+VOCABULARY, HELD = 2048, 100_000
+HIDDEN = 24
+#: Rounds of averaging; words of a shard and of a file of shards, about.
+ROUNDS, SHARD_WORDS, FILE_WORDS = 4, 400_000, 32_000_000
+#: Steps of a window of training; lanes are as many as give about LANE_WORDS words each, within bounds.
+WINDOW, LANE_WORDS, LANES = 20, 3000, (4, 128)
+#: Step sizes of the first round and of the last step.
+RATE, LAST_RATE = 0.012, 0.0005
+#: Words that are scored together, about.
+SCORED_WORDS = 1 << 16
 #: How many counted words a task holds before it sends them on.
 COUNTER_WORDS = 300_000
 END = b""
@@ -140,97 +151,118 @@ class Network:
 
     def log_probability(self, hs: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """The natural log of each target's probability given the states; with grads, also the gradient by the states."""
-        p, klass, first = self.p, self.klass[target], self.first
-        rows = np.arange(len(hs))
+        p, first = self.p, self.first
+        order = np.argsort(target.astype(np.int16), kind="stable")  # by word, and so by class
+        hs, target = hs[order], target[order]
+        klass, rows = self.klass[target], np.arange(len(hs))
         logit, e, total = _softmax(hs, p["cw"], p["cb"])
-        out = logit[rows, klass] - np.log(total)
+        found = logit[rows, klass] - np.log(total)
         dh = None
         if grads is not None:
-            d = e / total[:, None]
-            d[rows, klass] -= 1
-            grads["cw"], grads["cb"] = hs.T @ d, d.sum(axis=0)
+            e /= total[:, None]
+            e[rows, klass] -= 1
+            grads["cw"], grads["cb"] = hs.T @ e, e.sum(axis=0)
             grads["ww"], grads["wb"] = np.zeros_like(p["ww"]), np.zeros_like(p["wb"])
-            dh = d @ p["cw"].T
-        order = np.argsort(klass, kind="stable")
-        bounds = np.searchsorted(klass[order], np.arange(len(first)))
-        for c in np.flatnonzero(np.diff(bounds)).tolist():
-            at, a, b = order[bounds[c] : bounds[c + 1]], first[c], first[c + 1]
-            if b - a == 1 and grads is None:
+            dh = e @ p["cw"].T
+        bounds = np.searchsorted(target, first).tolist()
+        for c in range(len(first) - 1):
+            i, j, a, b = bounds[c], bounds[c + 1], first[c], first[c + 1]
+            if i == j or b - a == 1:
                 continue
-            own, w = hs[at], p["ww"][a:b]
+            own, w = hs[i:j], p["ww"][a:b]
             logit, e, total = _softmax(own, w.T, p["wb"][a:b])
-            k, t = np.arange(len(at)), target[at] - a
-            out[at] += logit[k, t] - np.log(total)
+            t = target[i:j] - a
+            k = rows[: j - i]
+            found[i:j] += logit[k, t] - np.log(total)
             if grads is not None:
-                d = e / total[:, None]
-                d[k, t] -= 1
-                grads["ww"][a:b] += d.T @ own
-                grads["wb"][a:b] += d.sum(axis=0)
-                dh[at] += d @ w
+                e /= total[:, None]
+                e[k, t] -= 1
+                grads["ww"][a:b] = e.T @ own
+                grads["wb"][a:b] = e.sum(axis=0)
+                dh[i:j] += e @ w
+        out = np.empty_like(found)
+        out[order] = found
+        if dh is not None:
+            back = np.empty_like(dh)
+            back[order] = dh
+            dh = back
         return out, dh
 
-    def train(self, stream: np.ndarray, end: int, batch: int = 48, window: int = 24, rate: float = 0.008, passes: int = 2) -> None:
-        """Truncated backpropagation over `batch` parallel parts of a stream of words; the state starts anew behind an end."""
-        length = (len(stream) - 1) // batch
-        if length < 1:
-            return
-        inputs, targets = stream[: batch * length].reshape(batch, length).T, stream[1 : batch * length + 1].reshape(batch, length).T
-        adam, t = Adam(self.p), 0
-        steps = passes * ((length + window - 1) // window)
-        for _ in range(passes):
-            h = np.zeros((batch, self.p["u"].shape[0]), np.float32)
-            for a in range(0, length, window):
-                x, y = inputs[a : a + window], targets[a : a + window]
-                h, grads = self._window(x, y, h, end)
-                t += 1
-                adam.step(self.p, grads, rate * (1 - 0.9 * t / steps))
+    def train(self, stream: np.ndarray, end: int, rate: float = RATE, last: float = LAST_RATE, window: int = WINDOW) -> int:
+        """Truncated backpropagation over a stream of words that begins with an end; every other word is a target once.
+
+        The stream is cut into lanes of one length, or one word less, that are read side by side with the
+        state carried on; it starts anew behind an end. Returns the number of targets.
+        """
+        n = len(stream) - 1
+        if n < 1:
+            return 0
+        lanes = min(n, max(LANES[0], min(LANES[1], n // LANE_WORDS)))
+        bounds = np.array([i * n // lanes for i in range(lanes + 1)])
+        bounds = bounds[np.argsort(-np.diff(bounds), kind="stable")] if n % lanes else bounds[:-1]  # the longer lanes first
+        length, full = -(-n // lanes), n % lanes or lanes
+        at = bounds + np.arange(length)[:, None]
+        h, adam = np.zeros((lanes, self.p["u"].shape[0]), np.float32), Adam(self.p)
+        whole = length if full == lanes else length - 1
+        for a in range(0, whole, window):
+            b = min(whole, a + window)
+            h, grads = self._window(stream[at[a:b]], stream[at[a:b] + 1], h, end)
+            adam.step(self.p, grads, rate + (last - rate) * a / length)
+        if whole < length:  # the last word of the longer lanes
+            x = at[whole:, :full]
+            adam.step(self.p, self._window(stream[x], stream[x + 1], h[:full], end)[1], last)
+        return n
 
     def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-        p, k, kept = self.p, h.shape[1], []
-        gates = p["e"][x] @ p["wx"] + p["bx"]
-        for t in range(len(x)):
-            fresh = (x[t] != end)[:, None].astype(np.float32)
-            was = h * fresh
-            h, z, r, n, hn = self.step(gates[t], was)
-            kept.append((was, fresh, z, r, n, hn, h))
+        """The state behind the window and the mean gradients, for words x and their successors y by step and lane."""
+        p, k, (steps, lanes) = self.p, h.shape[1], x.shape
+        gates = self.table()[x]
+        kind = gates.dtype
+        fresh = (x != end).astype(kind)[:, :, None]
+        was, n, hn, hs = (np.empty((steps, lanes, k), kind) for _ in range(4))
+        zr = np.empty((steps, lanes, 2 * k), kind)
+        for t in range(steps):
+            np.multiply(h, fresh[t], out=was[t])
+            g = was[t] @ p["u"]
+            gate = gates[t, :, : 2 * k] + g[:, : 2 * k]
+            np.exp(np.negative(gate, out=gate), out=gate)
+            gate += 1
+            np.reciprocal(gate, out=zr[t])
+            hn[t] = g[:, 2 * k :]
+            new = zr[t, :, k:] * hn[t]
+            new += gates[t, :, 2 * k :]
+            np.tanh(new, out=n[t])
+            np.subtract(was[t], n[t], out=new)
+            new *= zr[t, :, :k]
+            h = np.add(new, n[t], out=hs[t])
         grads: dict[str, np.ndarray] = {}
-        hs = np.concatenate([s[-1] for s in kept])
-        _, dh = self.log_probability(hs, y.ravel(), grads)
-        dh = dh.reshape(len(x), -1, k)
-        du, dx, carry = np.zeros_like(p["u"]), np.zeros_like(gates), np.zeros_like(h)
-        for t in range(len(x) - 1, -1, -1):
-            was, fresh, z, r, n, hn, _ = kept[t]
-            d = dh[t] + carry
-            dz, dn = d * (was - n) * z * (1 - z), d * (1 - z) * (1 - n**2)
-            dr, dhn = dn * hn * r * (1 - r), dn * r
-            dx[t] = np.concatenate([dz, dr, dn], axis=1)
-            dg = np.concatenate([dz, dr, dhn], axis=1)
-            du += was.T @ dg
-            carry = (d * z + dg @ p["u"].T) * fresh
+        dh = self.log_probability(hs.reshape(-1, k), y.ravel(), grads)[1].reshape(steps, lanes, k)
+        z, r = zr[:, :, :k], zr[:, :, k:]
+        by_z, by_n, by_r = (was - n) * z * (1 - z), (1 - z) * (1 - n * n), hn * r * (1 - r)
+        dx, dg = np.empty_like(gates), np.empty_like(gates)
+        carry, back = np.zeros_like(h), np.ascontiguousarray(p["u"].T)
+        for t in range(steps - 1, -1, -1):
+            d = dh[t]
+            d += carry
+            np.multiply(d, by_z[t], out=dg[t, :, :k])
+            dn = np.multiply(d, by_n[t], out=dx[t, :, 2 * k :])
+            np.multiply(dn, by_r[t], out=dg[t, :, k : 2 * k])
+            np.multiply(dn, r[t], out=dg[t, :, 2 * k :])
+            carry = dg[t] @ back
+            d *= z[t]
+            carry += d
+            carry *= fresh[t]
+        dx[:, :, : 2 * k] = dg[:, :, : 2 * k]
         flat, words = dx.reshape(-1, 3 * k), x.ravel()
-        back = flat @ p["wx"].T
-        grads |= {"u": du, "bx": flat.sum(axis=0), "wx": p["e"][words].T @ flat, "e": np.zeros_like(p["e"])}
-        np.add.at(grads["e"], words, back)
-        scale = np.float32(1 / x.size)
-        return h, {name: g * scale for name, g in grads.items()}
-
-    def refine(self, columns: Iterable[tuple[np.ndarray, np.ndarray]], end: int, batch: int = REFINE_BATCH, rate: float = 0.001) -> int:
-        """Steps over columns of inputs and targets of one length, each begun with an empty state; returns how many columns there were."""
-        adam, total, held = Adam(self.p), 0, []
-
-        def step() -> None:
-            x, y = (np.array([c[k] for c in held]).T for k in (0, 1))
-            adam.step(self.p, self._window(x, y, np.zeros((len(held), self.p["u"].shape[0]), np.float32), end)[1], rate)
-            held.clear()
-
-        for column in columns:
-            held.append(column)
-            total += 1
-            if len(held) == batch:
-                step()
-        if held:
-            step()
-        return total
+        order = np.argsort(words.astype(np.int16), kind="stable")
+        words = words[order]
+        at = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+        de = np.zeros_like(p["e"])
+        de[words[at]] = np.add.reduceat((flat @ p["wx"].T)[order], at, axis=0)
+        grads |= {"u": was.reshape(-1, k).T @ dg.reshape(-1, 3 * k), "bx": flat.sum(axis=0), "wx": p["e"][x.ravel()].T @ flat, "e": de}
+        for g in grads.values():
+            g *= kind.type(1 / x.size)
+        return hs[-1].copy(), grads
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
@@ -242,36 +274,43 @@ class Network:
             self.p[k] = values[at : at + n].reshape(self.p[k].shape).astype(np.float32)
             at += n
 
-    def score(self, rows: list[np.ndarray], end: int, window: int = WINDOW) -> np.ndarray:
-        """The natural log-likelihood of each row of words, whole; a row has its end already.
+    def copy(self) -> Network:
+        return Network(self.klass, {k: v.copy() for k, v in self.p.items()})
+
+    def score(self, flat: np.ndarray, at: np.ndarray, end: int, together: int = SCORED_WORDS) -> np.ndarray:
+        """The natural log-likelihood of each row of words, whole; row i lies from at[i] to at[i + 1] and has its end already.
 
         Rows are read side by side, the longest first, so that those still read are always the first.
         """
-        out = np.zeros(len(rows))
-        if not rows:
-            return out
-        lengths = np.array([len(r) for r in rows])
+        lengths = np.diff(at)
+        out = np.zeros(len(lengths))
         order = np.argsort(-lengths, kind="stable")
-        falling, table = lengths[order], self.table()
-        h = np.zeros((len(rows), self.p["u"].shape[0]), np.float32)
-        last = np.full(len(rows), end)
-        for a in range(0, int(falling[0]), window):
-            n = int(np.searchsorted(-falling, -a, side="left"))  # rows longer than a
-            own = np.full((n, window), -1)
-            for i in range(n):
-                part = rows[order[i]][a : a + window]
-                own[i, : len(part)] = part
-            states, place = [], []
-            for t in range(min(window, int(falling[0]) - a)):
-                b = int(np.searchsorted(-falling, -(a + t), side="left"))
-                h[:b] = self.step(table[last[:b]], h[:b])[0]
-                last[:b] = own[:b, t]
-                states.append(h[:b].copy())
-                place.append(b)
-            target = np.concatenate([own[:b, t] for t, b in enumerate(place)])
-            who = np.concatenate([order[:b] for b in place])
-            found, _ = self.log_probability(np.concatenate(states), target)
-            out += np.bincount(who, found, len(rows))
+        falling, begin, table = lengths[order], at[:-1][order], self.table()
+        h = np.zeros((len(lengths), self.p["u"].shape[0]), table.dtype)
+        last = np.full(len(lengths), end, flat.dtype)
+        states, targets, who, held = [], [], [], 0
+
+        def settle() -> None:
+            nonlocal held
+            found, _ = self.log_probability(np.concatenate(states), np.concatenate(targets))
+            out[:] += np.bincount(np.concatenate(who), found, len(out))
+            held = 0
+            for x in (states, targets, who):
+                x.clear()
+
+        # rows longer than t, for each t
+        still = len(lengths) - np.searchsorted(falling[::-1], np.arange(falling[0] if len(falling) else 0), side="right")
+        for t, b in enumerate(still.tolist()):
+            h[:b] = self.step(table[last[:b]], h[:b])[0]
+            last[:b] = flat[begin[:b] + t]
+            states.append(h[:b].copy())
+            targets.append(last[:b].copy())
+            who.append(order[:b])
+            held += b
+            if held >= together:
+                settle()
+        if held:
+            settle()
         return out
 
 
@@ -339,7 +378,7 @@ class Reader:
 
     def network_row(self, held: np.ndarray) -> np.ndarray:
         """The network's numbers of a text's words, and the end."""
-        return np.append(np.where(self.inside[held], self.number[held], self.other), self.model.end).astype(np.int32)
+        return np.append(np.where(self.inside[held], self.number[held], self.other), self.model.end).astype(np.int16)
 
 
 _readers: dict[int, Reader] = {}
@@ -352,13 +391,6 @@ def _reader(shared) -> Reader:
     return _readers[shared.value["key"]]
 
 
-def _sample(docs: DataFrame, max_docs: int) -> list[str]:
-    """Whole texts of max_docs documents at most, by a hash of the id."""
-    ids = smallest_hashes(docs.filter("doc_id is not null").select("doc_id", F.xxhash64("doc_id").alias("tie")), "tie", max_docs, "doc_id")
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("tie", F.coalesce("text", F.lit("")).alias("text"))
-    return [r["text"] for r in sorted(rows.collect())]
-
-
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     """At most `most` words, all that have a count or none: those from the smallest eighth of a power of two on that leaves no more.
 
@@ -374,98 +406,147 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.filter(step >= least)
 
 
-def window_columns(batches: Iterable[pa.RecordBatch], reader: Reader, size: int = REFINE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Inputs and targets of `size` words: all texts behind one another, each with its end, cut into windows, so that every word is a target.
-
-    The last window ends with the last text, and so may begin within its predecessor; it is shorter only if all texts are.
-    """
-    before, rest = np.array([], np.int32), np.array([reader.model.end], np.int32)
-    for block in blocks(batches):
-        for text in block.column(1).to_pylist():
-            row = np.concatenate([rest, reader.network_row(reader.numbers(words_of(text)))])
-            n = (len(row) - 1) // size
-            for a in range(0, n * size, size):
-                yield row[a : a + size], row[a + 1 : a + size + 1]
-            before, rest = row[(n - 1) * size : n * size] if n else before, row[n * size :]
-    if len(rest) > 1:
-        row = np.concatenate([before, rest])[-size - 1 :]
-        yield row[:-1], row[1:]
-
+def begin(counts: DataFrame, vocabulary: int = VOCABULARY, held: int = HELD) -> Model:
+    """A model with the counts, and a network that knows no more than these yet."""
+    total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    top = most_frequent(counts, held).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    return Model.new([bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64), total, types, vocabulary)
 
-def refine(docs: DataFrame, model: Model) -> None:
-    """One round over all documents: each partition goes on from the model, and the parameters are averaged."""
-    import uuid
 
+def tokenize(docs: DataFrame, model: Model, *more: F.Column) -> DataFrame:
+    """A row of each text as the model reads it: doc_id, further columns, its hash, the network's numbers and what the counts say."""
+    rows = id_and_text(docs, F.xxhash64(F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.coalesce(docs["text"], F.lit(""))).alias("hash"), *more)
     shared = docs.sparkSession.sparkContext.broadcast({"key": uuid.uuid4().hex, "model": model})
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("text", "hash"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _reader(shared)
-        own = Network(reader.model.network.klass, {k: v.copy() for k, v in reader.model.network.p.items()})
-        if n := own.refine(window_columns(batches, reader), reader.model.end):
-            values = own.flat().astype(np.float64) * n
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values), pa.array(np.full(len(values), n, np.int64))], ["i", "v", "n"])
+        reader, seen = _reader(shared), Counter()
+        others = np.log10(model.others)
+        for block in blocks(batches):
+            numbers, sizes, tops, logs, rests, rare, keys = [], [], [], [], [], [], []
+            for text, key in zip(block.column(1).to_pylist(), block.column(2).to_pylist(), strict=True):
+                words = words_of(text)
+                at = reader.numbers(words)
+                row = reader.network_row(at)
+                numbers.append(row.tobytes())
+                sizes.append(len(row))
+                few = np.flatnonzero(at < 0)
+                rare.append([words[i] for i in few.tolist()])
+                tops.append(len(words) - len(few))
+                near = at[at >= 0]
+                logs.append(reader.log[near].sum())
+                rests.append(reader.log[near[~reader.inside[near]]].sum() - others * (~reader.inside[at]).sum())
+                keys.append((key + seen[key] * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63))
+                seen[key] += 1
+            arrays = [block.column(0), *block.columns[3:], pa.array(keys, pa.int64()), pa.array(numbers, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tops, pa.int64()), pa.array(np.array(logs, np.float64)), pa.array(np.array(rests, np.float64)), pa.array(rare, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *block.schema.names[3:], *TOKENIZED])
+
+    found = rows.mapInArrow(run, f"{kept}, " + ", ".join(f"{k} {v}" for k, v in TOKENIZED.items()))
+    return found.withColumn("__row", F.monotonically_increasing_id())
+
+
+#: What tokenize() adds to a row, beside its number __row.
+TOKENIZED = {"__key": "long", "__numbers": "binary", "__n": "long", "__known": "long", "__logs": "double", "__rests": "double", "__rare": "array<binary>"}
+
 
-    sums = id_and_text(docs).mapInArrow(run, "i int, v double, n long").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v"))
-    found = sums.toPandas().sort_values("i")  # as many rows as the network has parameters
-    if len(found):
-        model.network.set_flat(found["v"].to_numpy())
+def _shards(batches: Iterable[pa.RecordBatch], end: int) -> Iterator[np.ndarray]:
+    """The streams of successive rows of one shard (columns shard, key, numbers), each begun with an end."""
+    held, shard = [], None
+    for batch in batches:
+        for s, numbers in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            if s != shard and held:
+                yield np.concatenate([np.array([end], np.int16), *held])
+                held = []
+            shard = s
+            held.append(np.frombuffer(numbers, np.int16))
+    if held:
+        yield np.concatenate([np.array([end], np.int16), *held])
 
 
-def train(docs: DataFrame, vocabulary: int = VOCABULARY, held: int = HELD, max_docs: int = MAX_DOCS) -> tuple[Model, DataFrame]:
+def learn(rows: DataFrame, model: Model, rounds: int = ROUNDS, shard_words: int = SHARD_WORDS) -> int:
+    """Trains the model's network on every word of tokenized rows; returns the number of words, the same as the model's total if the rows are its own.
+
+    The rows' hashes alone place them in rounds and shards, which lie in one exchange side by side: each
+    round reads its own files and sends the driver one set of parameters, whatever the size of the table.
+    """
+    spark = rows.sparkSession
+    per_round = max(1, round(model.total / rounds / shard_words))
+    wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = min(per_round, max(2 * wide, -(-model.total // rounds // FILE_WORDS)))
+    place = F.pmod("__key", F.lit(rounds * per_round))
+    placed = rows.select((place % rounds).cast("int").alias("round"), F.floor(place / rounds).cast("long").alias("shard"), F.col("__key").alias("key"), F.col("__numbers").alias("numbers"))
+    placed = placed.repartitionById(rounds * files, (F.col("round") * files + F.floor(F.col("shard") * files / per_round)).cast("int"))
+    table = write_table(placed.sortWithinPartitions("round", "shard", "key"), "lm-shards", by="round")
+    total = 0
+    for k in range(rounds):
+        rate = RATE + (LAST_RATE - RATE) * k / rounds
+        last = RATE + (LAST_RATE - RATE) * (k + 1) / rounds
+        shared = spark.sparkContext.broadcast({"key": uuid.uuid4().hex, "model": model})
+
+        def run(batches: Iterable[pa.RecordBatch], shared=shared, rate=rate, last=last) -> Iterator[pa.RecordBatch]:
+            start, total, n = shared.value["model"], 0.0, 0
+            for stream in _shards(batches, start.end):
+                own = start.network.copy()
+                seen = own.train(stream, start.end, rate, last)
+                total, n = total + own.flat().astype(np.float64) * seen, n + seen
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total), pa.array(np.full(len(total), n, np.int64))], ["i", "v", "n"])
+
+        part = table.filter(F.col("round") == k).select("shard", "key", "numbers")
+        found = part.mapInArrow(run, "i int, v double, n long").groupBy("i").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).toPandas().sort_values("i")
+        if len(found):  # as many rows as the network has parameters
+            model.network.set_flat((found["v"] / found["n"]).to_numpy())
+            total += int(found["n"].iloc[0])
+        shared.unpersist()
+    drop_table(table)
+    return total
+
+
+def train(docs: DataFrame, vocabulary: int = VOCABULARY, held: int = HELD, rounds: int = ROUNDS, shard_words: int = SHARD_WORDS) -> tuple[Model, DataFrame]:
     """A model of the documents, and the table of all word counts."""
     counts = write_table(word_counts(docs), "word-counts")
-    total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = most_frequent(counts, held).toPandas().sort_values(["n", "word"], ascending=[False, True])
-    model = Model.new([bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64), total, types, vocabulary)
-    reader = Reader(model)
-    rows = [reader.network_row(reader.numbers(words_of(t))) for t in _sample(docs, max_docs)]
-    if rows:
-        model.network.train(np.concatenate([[model.end], *rows]), model.end)
-        refine(docs, model)
+    model = begin(counts, vocabulary, held)
+    learn(tokenize(docs, model), model, rounds, shard_words)
     return model, counts
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, *more: F.Column) -> DataFrame:
     """doc_id, further columns, n_tokens, n_known, base_score and score of every whole text."""
-    import uuid
+    return score_rows(write_table(tokenize(docs, model, *more), "lm-rows"), model, counts)
 
-    ship(docs.sparkSession)
-    rows = id_and_text(docs, *more)
-    shared = docs.sparkSession.sparkContext.broadcast({"key": uuid.uuid4().hex, "model": model})
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
+
+def score_rows(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """As score(), of rows from a table that tokenize() gave."""
+    more = [f for f in rows.schema.fields if f.name not in (*TOKENIZED, "__row")]
+    shared = rows.sparkSession.sparkContext.broadcast({"key": uuid.uuid4().hex, "model": model})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _reader(shared)
-        for block in blocks(batches, LOCKSTEP_BYTES):
-            rows, tops, logs, rests, rare = [], [], [], [], []
-            for text in block.column(1).to_pylist():
-                words = words_of(text)
-                at = reader.numbers(words)
-                rows.append(reader.network_row(at))
-                few = np.flatnonzero(at < 0)
-                rare.append([words[i] for i in few.tolist()])
-                tops.append(len(words) - len(few))
-                near = at[at >= 0]
-                logs.append(reader.log[near].sum())
-                rests.append(reader.log[near[~reader.inside[near]]].sum() - np.log10(model.others) * (~reader.inside[at]).sum())
-            network = model.network.score(rows, model.end) / np.log(10)
-            arrays = [block.column(0), *block.columns[2:], pa.array([len(r) for r in rows], pa.int64()), pa.array(tops, pa.int64()), pa.array(np.array(logs, np.float64)), pa.array(network + np.array(rests, np.float64)), pa.array(rare, pa.list_(pa.binary()))]
-            yield pa.RecordBatch.from_arrays(arrays, [*block.schema.names[:1], *block.schema.names[2:], "n_tokens", "known", "logs", "own", "rare"])
-
-    found = rows.mapInArrow(run, f"{kept}, n_tokens long, known long, logs double, own double, rare array<binary>")
-    found = write_table(found.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    rare = found.select("row", F.explode("rare").alias("word"))
-    met = rare.join(counts, "word").groupBy("row").agg(F.count("*").alias("met"), F.sum(F.log10(F.col("n") + 1.0)).alias("more"))
-    both = found.drop("rare").join(met, "row", "left").na.fill({"met": 0, "more": 0.0})
+        own = shared.value["model"]
+        for batch in batches:
+            numbers = batch.column(0)
+            flat = np.frombuffer(b"".join(numbers.to_pylist()), np.int16)
+            sizes = np.array(batch.column(1), np.int64)
+            found = own.network.score(flat, np.concatenate([[0], np.cumsum(sizes)]), own.end) / np.log(10)
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(found)], [*batch.schema.names[2:], "__own"])
+
+    kept = [F.col(f"`{f.name}`") for f in more]
+    network = rows.select("__numbers", "__n", *kept, F.col("__n").alias("n_tokens"), "__known", "__logs", "__rests", "__row")
+    given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in network.schema.fields[2:])
+    scored = network.mapInArrow(run, f"{given}, __own double")
+    rare = rows.select("__row", F.explode("__rare").alias("word"))
+    met = rare.join(counts, "word").groupBy("__row").agg(F.count("*").alias("__met"), F.sum(F.log10(F.col("n") + 1.0)).alias("__more"))
+    both = scored.join(met, "__row", "left").na.fill({"__met": 0, "__more": 0.0})
     end = counts.filter(F.col("word") == F.lit(bytearray(END))).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()["n"]
-    known = F.col("known") + F.col("met") + F.lit(int(end > 0))
-    base = F.col("logs") + F.col("more") + float(np.log10(end + 1)) - F.col("n_tokens") * float(np.log10(model.total + model.types + 1))
-    return both.select("doc_id", *[f"`{f.name}`" for f in rows.schema.fields if f.name not in ("doc_id", "text")], "n_tokens", known.alias("n_known"), base.alias("base_score"), (F.col("own") + F.col("more")).alias("score"))
+    known = F.col("__known") + F.col("__met") + F.lit(int(end > 0))
+    base = F.col("__logs") + F.col("__more") + float(np.log10(end + 1)) - F.col("n_tokens") * float(np.log10(model.total + model.types + 1))
+    return both.select(*kept, "n_tokens", known.alias("n_known"), base.alias("base_score"), (F.col("__own") + F.col("__rests") + F.col("__more")).alias("score"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held = remainder(docs["doc_id"], 7) == 2
-    model, counts = train(docs.filter(~held))
-    rows = score(docs, model, counts)
-    return rows.select("doc_id", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+    counts = write_table(word_counts(docs.filter(~held)), "word-counts")
+    model = begin(counts)
+    rows = write_table(tokenize(docs, model, held.alias("held_out")), "lm-rows")
+    learn(rows.filter(~F.col("held_out")), model)
+    return score_rows(rows, model, counts).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -333,18 +333,95 @@ def test_network_gradient_and_likelihood():
         w[i] = old - 1e-5
         assert abs((up - loss()) / 2e-5 - grads[k][i]) < 1e-6
         w[i] = old
-    rows = [rng.integers(0, 12, n) for n in (1, 7, 150, 64, 65, 3)]
+    rows = [rng.integers(0, 12, n) for n in (1, 7, 150, 64, 65, 3, 0)]
+    at = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    assert np.allclose(net.score(np.concatenate(rows), at, 2, together=16), [plain_log_likelihood(net, r, 2) for r in rows], atol=1e-9)
+    assert abs(sum(math.exp(plain_log_likelihood(net, [w], 2)) for w in range(12)) - 1) < 1e-9
+
+
+def plain_log_likelihood(net, row, end):
+    """One word after another, with loops and the textbook formulas only."""
+    p, k = {n: v.astype(np.float64) for n, v in net.p.items()}, net.p["u"].shape[0]
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    h, last, total = np.zeros(k), end, 0.0
+    for w in row:
+        x, g = p["e"][last] @ p["wx"] + p["bx"], h @ p["u"]
+        z, r = sigmoid(x[:k] + g[:k]), sigmoid(x[k : 2 * k] + g[k : 2 * k])
+        h = (1 - z) * np.tanh(x[2 * k :] + r * g[2 * k :]) + z * h
+        own, c = np.flatnonzero(net.klass == net.klass[w]), net.klass[w]
+        classes, words = np.exp(h @ p["cw"] + p["cb"]), np.exp(p["ww"][own] @ h + p["wb"][own])
+        total += math.log(classes[c] / classes.sum()) + math.log(words[own.tolist().index(w)] / words.sum())
+        last = w
+    return total
+
+
+def test_lm_score_is_the_plain_network_s(spark, awkward):
+    d, rows = awkward
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    model, counts = lm.train(docs, vocabulary=50, held=200, shard_words=9000)
+    got = Counter((-1 if r.doc_id is None else r.doc_id, round(r.score, 2)) for r in lm.score(docs, model, counts).collect())
+    c = Counter(w for _, t, _ in rows for w in [*lm.words_of(t or ""), b""])
+    inner = dict(zip(model.words, model.number.tolist(), strict=True))
+    inside = {w for i, w in enumerate(w for w in model.words if w != b"") if i < 50} | {b""}
+    other = next(n for w, n in inner.items() if w not in inside)
+    want = Counter()
+    for i, t, _ in rows:
+        words = [*lm.words_of(t or ""), b""]
+        total = plain_log_likelihood(model.network, [inner[w] if w in inside else other for w in words], model.end) / math.log(10)
+        total += sum(math.log10((c[w] + 1) / model.others) for w in words if w not in inside)
+        want[-1 if i is None else i, round(total, 2)] += 1
+    near = lambda key: any(got[key[0], round(key[1] + e, 2)] for e in (-0.02, -0.01, 0, 0.01, 0.02))
+    long = {3000}  # single precision over 60,000 words
+    assert all(near(k) for k in want if k[0] not in long) and sum(got.values()) == sum(want.values())
+
+
+WORDY = ["a b c", "a b c d " * 4, "", " ".join(f"w{i}" for i in range(60)), None, "x" * 9000, "y" * 700 + " z" * 40, " ".join(f"v{i}" for i in range(900)), "漢字かな" * 4000, " ".join("k" * 41 + str(i % 7) for i in range(5000)), "a tail"]
+
+
+def test_every_word_is_trained_on(spark, texts):
+    rows = [(i, t) for i, t in enumerate([*WORDY, *list(texts.values())[:40], *WORDY])]
+    for shard_words in (500, 10**9):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        counts = lm.word_counts(docs).cache()
+        model = lm.begin(counts, vocabulary=60)
+        before = model.network.flat().copy()
+        assert lm.learn(lm.tokenize(docs, model), model, shard_words=shard_words) == model.total == sum(len(lm.words_of(t or "")) + 1 for _, t in rows)
+        after = model.network.flat()
+        assert np.isfinite(after).all() and 0 < np.abs(after - before).max() < 5
+
 
-    def one(row):
-        h, last, total = np.zeros((1, 5)), 2, 0.0
-        for w in row:
-            h = net.step(net.table()[[last]], h)[0]
-            total += net.log_probability(h, np.array([w]))[0][0]
-            last = w
-        return total
+@pytest.mark.parametrize("n", [1, 2, 5, 37, 400, 13000])
+def test_each_word_of_a_stream_is_a_target_once(n, monkeypatch):
+    net, seen = lm.Network.new(np.arange(60, 10, -1)), []
+    monkeypatch.setattr(lm, "LANE_WORDS", 90)
+    stream = np.random.default_rng(n).integers(0, 50, n + 1).astype(np.int16)
+    plain = net._window
 
-    assert np.allclose(net.score(rows, 2, window=16), [one(r) for r in rows], atol=1e-4)
-    assert abs(sum(math.exp(one([w])) for w in range(12)) - 1) < 1e-9
+    def window(x, y, h, end):
+        seen.append((x.copy(), y.copy(), h.copy()))
+        return plain(x, y, h, end)
+
+    net._window = window
+    assert net.train(stream, 3) == n
+    assert Counter((a, b) for x, y, _ in seen for a, b in zip(x.ravel().tolist(), y.ravel().tolist(), strict=True)) == Counter(zip(stream[:-1].tolist(), stream[1:].tolist(), strict=True))
+    assert all((y[:-1] == x[1:]).all() for x, y, _ in seen) and all(h.any() for *_, h in seen[1:])
+
+
+def test_training_does_not_depend_on_the_split(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found = []
+    for n in (1, 8):
+        model, counts = lm.train(docs.repartition(n), vocabulary=300, shard_words=3000)
+        found.append({r.doc_id: (r.score, r.n_tokens) for r in lm.score(docs, model, counts).collect()})
+    assert max(abs(found[0][i][0] - s) / n for i, (s, n) in found[1].items()) < 0.001
+
+
+def test_words_of_repeated_rows_are_spread(spark):
+    """A row that repeats without end does not fill one shard."""
+    docs = spark.createDataFrame([(7, "one and the same row of words")] * 400 + [(i, f"row {i}") for i in range(50)], "doc_id long, text string").repartition(2)
+    model = lm.begin(lm.word_counts(docs).cache())
+    assert lm.tokenize(docs, model).select("__key").distinct().count() >= 250
+    assert lm.learn(lm.tokenize(docs, model), model, shard_words=100) == model.total
 
 
 @pytest.mark.parametrize(
@@ -392,39 +469,6 @@ def test_licenses_on_table(spark, sf_dir, texts):
         assert families == ",".join(sorted({f for m, f in marks.items() if m in texts[i]}))
 
 
-def test_refining_covers_all_documents(spark, sf_dir, texts):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model, _ = lm.train(docs, vocabulary=200, max_docs=20)
-    reader = lm.Reader(model)
-    import pyarrow as pa
-
-    rows = [*texts.values(), "", "short", "x" * 9000]
-    columns = list(lm.window_columns([pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows)], ["doc_id", "text"])], reader, 16))
-    assert all(len(x) == len(y) == 16 and (x[1:] == y[:-1]).all() for x, y in columns)
-    assert len(columns) >= sum(len(lm.words_of(t)) > 100 for t in rows)
-    before = model.network.flat().copy()
-    lm.refine(docs, model)
-    after = model.network.flat()
-    assert np.isfinite(after).all() and 0 < np.abs(after - before).max() < 1
-    held = [reader.network_row(reader.numbers(lm.words_of(t))) for t in list(texts.values())[:50]]
-    assert lm.Reader(model).model.network.score(held, model.end).sum() < 0
-
-
-@pytest.mark.parametrize("rows", [["a b c"], ["a b c d " * 4], ["", "a b", " ".join(f"w{i}" for i in range(60)), None, "x" * 9000, "y" * 700 + " z" * 40, " ".join(f"v{i}" for i in range(900))]])
-def test_refining_trains_on_every_word(rows):
-    words = sorted({w for t in rows for w in lm.words_of(t or "")})
-    reader = lm.Reader(lm.Model.new([*words, lm.END], np.ones(len(words) + 1, np.int64), len(words) + 1, len(words) + 1))
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([t or "" for t in rows])], ["doc_id", "text"])
-    columns = list(lm.window_columns([batch], reader, 16))
-    stream = np.concatenate([reader.network_row(reader.numbers(lm.words_of(t or ""))) for t in rows])
-    full = len(stream) // 16 * 16
-    targets = np.concatenate([y for _, y in columns])
-    assert len(columns) == -(-len(stream) // 16) and (targets[:full] == stream[:full]).all() and (targets[-16:] == stream[-16:]).all()
-    assert all((x[1:] == y[:-1]).all() for x, y in columns)
-
-
 def test_packing_with_ids(spark, awkward):
     docs = spark.read.parquet(f"{awkward[0]}/documents.parquet")
     rows = packing.pack_documents(docs).collect()
