@@ -22,9 +22,10 @@ with no training rows all counts are zero.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,31 +34,52 @@ from pyspark.sql import functions as F
 
 from docloom.session import ship
 
-from .common import blocks, documents, drop_table, id_and_text, remainder, write_table
+from .common import SPACE, blocks, documents, drop_table, id_and_text, remainder, text_bytes, write_table
 from .simhash import LOWER
 
 #: Words of the network (with the end and "any other" they fit 16 bits); words whose counts every task holds.
 VOCABULARY, HELD = 2048, 100_000
-HIDDEN = 24
+HIDDEN = 16
 #: Rounds of averaging; words of a shard and of a file of shards, about.
 ROUNDS, SHARD_WORDS, FILE_WORDS = 4, 400_000, 32_000_000
 #: Steps of a window of training; lanes are as many as give about LANE_WORDS words each, within bounds.
 WINDOW, LANE_WORDS, LANES = 20, 3000, (4, 128)
 #: Step sizes of the first round and of the last step.
 RATE, LAST_RATE = 0.012, 0.0005
-#: Words that are scored together, about.
-SCORED_WORDS = 1 << 16
+#: Texts that are read side by side, and words whose probabilities are taken together, about.
+SCORED_LANES, SCORED_WORDS = 1024, 1 << 14
 #: How many counted words a task holds before it sends them on.
 COUNTER_WORDS = 300_000
 END = b""
 
 
+_LOWER = np.frombuffer(LOWER, np.uint8)
+_IN_WORD = np.isin(np.arange(256), list(SPACE), invert=True)
+
+
 def words_of(text: str) -> list[bytes]:
     return text.encode().translate(LOWER).split()
 
 
+def cut(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after another, and where each text's begin, with the end; as words_of() of each, without a Python object for a word."""
+    raw, at = text_bytes(column)
+    inside, new = _IN_WORD[raw], np.zeros(len(raw) + 1, bool)
+    new[at] = True  # no word goes on in the next text
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1] | new[1:-1]
+    end = inside.copy()
+    end[:-1] &= ~inside[1:] | new[1:-1]
+    begin, end = np.flatnonzero(begin), np.flatnonzero(end)
+    offsets = np.zeros(len(begin) + 1, np.int64)
+    np.cumsum(end - begin + 1, out=offsets[1:])
+    data = _LOWER[raw[inside]]
+    words = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return words, np.searchsorted(begin, at)
+
+
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: Counter[bytes] = Counter()
+    found: defaultdict[bytes, int] = defaultdict(int)
 
     def send() -> pa.RecordBatch:
         batch = pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
@@ -65,7 +87,10 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return batch
 
     for block in blocks(batches):
-        found.update(words_of("\n".join(block.column(1).to_pylist())))
+        coded = cut(block.column(1))[0].dictionary_encode()
+        n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
+        for word, k in zip(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), n.tolist(), strict=True):
+            found[word] += k
         found[END] += block.num_rows
         if len(found) > COUNTER_WORDS:
             yield send()
@@ -80,21 +105,26 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def classes_of(counts: np.ndarray) -> np.ndarray:
     """A class for each word, by falling counts: each class has about the same sum of root counts."""
-    n = max(1, round(len(counts) ** 0.5))
+    n = max(1, round(len(counts) ** 0.5 / 2))
     mass = np.cumsum(np.sqrt(counts + 1.0))
     return np.minimum((mass - mass[0]) / mass[-1] * n, n - 1).astype(np.int64)
 
 
-def _softmax(hs: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Logits, their exponentials and the rows' sums. States lie within 1, which bounds the logits: mostly one shift serves all rows."""
-    reach = np.abs(w).sum(axis=0)
-    shift = (b + reach).max()
-    if shift - (b - reach).max() < 60:
-        logit = hs @ w
-        logit += b - shift
-    else:
-        logit = hs @ w + b
+def _shifts(w: np.ndarray, b: np.ndarray, first: np.ndarray) -> list:
+    """For each class a number to be taken from its logits before exp: states lie within 1, which bounds the logits, so that mostly one serves all rows; None if not."""
+    reach = np.abs(w).sum(axis=1)
+    most, least = (np.maximum.reduceat(x, first[:-1]) for x in (b + reach, b - reach))
+    return [x if x - y < 60 else None for x, y in zip(most, least, strict=True)]
+
+
+def _softmax(hs: np.ndarray, w: np.ndarray, b: np.ndarray, shift: np.floating | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits, their exponentials and the rows' sums."""
+    logit = hs @ w
+    if shift is None:
+        logit += b
         logit -= logit.max(axis=1, keepdims=True)
+    else:
+        logit += b - shift
     e = np.exp(logit)
     return logit, e, e @ np.ones(e.shape[1], e.dtype)
 
@@ -123,7 +153,7 @@ class Network:
     klass: np.ndarray
     p: dict[str, np.ndarray] = field(default_factory=dict)
 
-    @property
+    @cached_property
     def first(self) -> np.ndarray:
         return np.searchsorted(self.klass, np.arange(self.klass[-1] + 2))
 
@@ -149,44 +179,47 @@ class Network:
         n = np.tanh(x[:, 2 * k :] + r * g[:, 2 * k :])
         return n + z * (h - n), z, r, n, g[:, 2 * k :]
 
-    def log_probability(self, hs: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """The natural log of each target's probability given the states; with grads, also the gradient by the states."""
-        p, first = self.p, self.first
-        order = np.argsort(target.astype(np.int16), kind="stable")  # by word, and so by class
-        hs, target = hs[order], target[order]
-        klass, rows = self.klass[target], np.arange(len(hs))
-        logit, e, total = _softmax(hs, p["cw"], p["cb"])
-        found = logit[rows, klass] - np.log(total)
-        dh = None
-        if grads is not None:
-            e /= total[:, None]
-            e[rows, klass] -= 1
-            grads["cw"], grads["cb"] = hs.T @ e, e.sum(axis=0)
-            grads["ww"], grads["wb"] = np.zeros_like(p["ww"]), np.zeros_like(p["wb"])
-            dh = e @ p["cw"].T
-        bounds = np.searchsorted(target, first).tolist()
-        for c in range(len(first) - 1):
-            i, j, a, b = bounds[c], bounds[c + 1], first[c], first[c + 1]
-            if i == j or b - a == 1:
-                continue
-            own, w = hs[i:j], p["ww"][a:b]
-            logit, e, total = _softmax(own, w.T, p["wb"][a:b])
-            t = target[i:j] - a
-            k = rows[: j - i]
-            found[i:j] += logit[k, t] - np.log(total)
-            if grads is not None:
-                e /= total[:, None]
-                e[k, t] -= 1
-                grads["ww"][a:b] = e.T @ own
-                grads["wb"][a:b] = e.sum(axis=0)
-                dh[i:j] += e @ w
+    def log_probability(self, hs: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """The natural log of each target's probability given the states."""
+        p, rows = self.p, np.arange(len(hs))
+        order, hs, target, bounds = self._by_class(hs, target)
+        logit, _, total = _softmax(hs, p["cw"], p["cb"], _shifts(p["cw"].T, p["cb"], np.array([0, len(p["cb"])]))[0])
+        found = logit[rows, self.klass[target]] - np.log(total)
+        for i, j, a, b, shift in bounds:
+            logit, _, total = _softmax(hs[i:j], p["ww"][a:b].T, p["wb"][a:b], shift)
+            found[i:j] += logit[rows[: j - i], target[i:j] - a] - np.log(total)
         out = np.empty_like(found)
         out[order] = found
-        if dh is not None:
-            back = np.empty_like(dh)
-            back[order] = dh
-            dh = back
-        return out, dh
+        return out
+
+    def gradient(self, hs: np.ndarray, target: np.ndarray, grads: dict[str, np.ndarray]) -> np.ndarray:
+        """The gradient of the targets' negative log-probabilities by the states; those by the softmax parameters go to grads."""
+        p, rows = self.p, np.arange(len(hs))
+        order, hs, target, bounds = self._by_class(hs, target)
+        _, e, total = _softmax(hs, p["cw"], p["cb"], _shifts(p["cw"].T, p["cb"], np.array([0, len(p["cb"])]))[0])
+        e /= total[:, None]
+        e[rows, self.klass[target]] -= 1
+        one = np.ones(len(hs), e.dtype)
+        grads |= {"cw": hs.T @ e, "cb": one @ e, "ww": np.zeros_like(p["ww"]), "wb": np.zeros_like(p["wb"])}
+        dh = e @ p["cw"].T
+        for i, j, a, b, shift in bounds:
+            own, w = hs[i:j], p["ww"][a:b]
+            _, e, total = _softmax(own, w.T, p["wb"][a:b], shift)
+            e /= total[:, None]
+            e[rows[: j - i], target[i:j] - a] -= 1
+            grads["ww"][a:b] = e.T @ own
+            grads["wb"][a:b] = one[: j - i] @ e
+            dh[i:j] += e @ w
+        out = np.empty_like(dh)
+        out[order] = dh
+        return out
+
+    def _by_class(self, hs: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple]]:
+        """Rows in the order of their targets, and so by class; for each class of several words that is met its rows, words and shift."""
+        order = np.argsort(target.astype(np.int16), kind="stable")
+        hs, target, first = hs[order], target[order], self.first
+        at, words, shifts = np.searchsorted(target, first).tolist(), first.tolist(), _shifts(self.p["ww"], self.p["wb"], first)
+        return order, hs, target, [(at[c], at[c + 1], words[c], words[c + 1], shifts[c]) for c in range(len(shifts)) if at[c] < at[c + 1] and words[c + 1] - words[c] > 1]
 
     def train(self, stream: np.ndarray, end: int, rate: float = RATE, last: float = LAST_RATE, window: int = WINDOW) -> int:
         """Truncated backpropagation over a stream of words that begins with an end; every other word is a target once.
@@ -236,7 +269,7 @@ class Network:
             new *= zr[t, :, :k]
             h = np.add(new, n[t], out=hs[t])
         grads: dict[str, np.ndarray] = {}
-        dh = self.log_probability(hs.reshape(-1, k), y.ravel(), grads)[1].reshape(steps, lanes, k)
+        dh = self.gradient(hs.reshape(-1, k), y.ravel(), grads).reshape(steps, lanes, k)
         z, r = zr[:, :, :k], zr[:, :, k:]
         by_z, by_n, by_r = (was - n) * z * (1 - z), (1 - z) * (1 - n * n), hn * r * (1 - r)
         dx, dg = np.empty_like(gates), np.empty_like(gates)
@@ -277,41 +310,37 @@ class Network:
     def copy(self) -> Network:
         return Network(self.klass, {k: v.copy() for k, v in self.p.items()})
 
-    def score(self, flat: np.ndarray, at: np.ndarray, end: int, together: int = SCORED_WORDS) -> np.ndarray:
+    def score(self, flat: np.ndarray, at: np.ndarray, end: int, lanes: int = SCORED_LANES, together: int = SCORED_WORDS) -> np.ndarray:
         """The natural log-likelihood of each row of words, whole; row i lies from at[i] to at[i + 1] and has its end already.
 
-        Rows are read side by side, the longest first, so that those still read are always the first.
+        Rows of about one length are read side by side, the longest first, so that those still read are always the first.
         """
-        lengths = np.diff(at)
-        out = np.zeros(len(lengths))
-        order = np.argsort(-lengths, kind="stable")
-        falling, begin, table = lengths[order], at[:-1][order], self.table()
-        h = np.zeros((len(lengths), self.p["u"].shape[0]), table.dtype)
-        last = np.full(len(lengths), end, flat.dtype)
-        states, targets, who, held = [], [], [], 0
-
-        def settle() -> None:
-            nonlocal held
-            found, _ = self.log_probability(np.concatenate(states), np.concatenate(targets))
-            out[:] += np.bincount(np.concatenate(who), found, len(out))
-            held = 0
-            for x in (states, targets, who):
-                x.clear()
+        lengths, table = np.diff(at), self.table()
+        out, order = np.zeros(len(lengths)), np.argsort(-lengths, kind="stable")
+        for a in range(0, len(order), lanes):
+            self._score(flat, at[:-1], lengths, order[a : a + lanes], table, end, together, out)
+        return out
 
+    def _score(self, flat: np.ndarray, at: np.ndarray, lengths: np.ndarray, order: np.ndarray, table: np.ndarray, end: int, together: int, out: np.ndarray) -> None:
+        falling, begin = lengths[order], at[order]
+        h = np.zeros((len(order), self.p["u"].shape[0]), table.dtype)
+        last = np.full(len(order), end, flat.dtype)
+        total, states, targets, held = np.zeros(len(order)), [], [], 0
         # rows longer than t, for each t
-        still = len(lengths) - np.searchsorted(falling[::-1], np.arange(falling[0] if len(falling) else 0), side="right")
+        still = len(order) - np.searchsorted(falling[::-1], np.arange(falling[0]), side="right")
         for t, b in enumerate(still.tolist()):
             h[:b] = self.step(table[last[:b]], h[:b])[0]
             last[:b] = flat[begin[:b] + t]
             states.append(h[:b].copy())
             targets.append(last[:b].copy())
-            who.append(order[:b])
             held += b
-            if held >= together:
-                settle()
-        if held:
-            settle()
-        return out
+            if held >= together or t == len(still) - 1:
+                found, i = self.log_probability(np.concatenate(states), np.concatenate(targets)), 0
+                for x in states:
+                    total[: len(x)] += found[i : i + len(x)]
+                    i += len(x)
+                states, targets, held = [], [], 0
+        out[order] = total
 
 
 class _Known(dict):
@@ -373,12 +402,12 @@ class Reader:
         self.number = np.append(model.number, self.other)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        """Places of a text's words among the held, -1 for rarer ones."""
+        """Places of words among the held, -1 for rarer ones."""
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
-    def network_row(self, held: np.ndarray) -> np.ndarray:
-        """The network's numbers of a text's words, and the end."""
-        return np.append(np.where(self.inside[held], self.number[held], self.other), self.model.end).astype(np.int16)
+    def network_numbers(self, held: np.ndarray) -> np.ndarray:
+        """The network's numbers of words, by their places among the held."""
+        return np.where(self.inside[held], self.number[held], self.other).astype(np.int16)
 
 
 _readers: dict[int, Reader] = {}
@@ -421,24 +450,29 @@ def tokenize(docs: DataFrame, model: Model, *more: F.Column) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, seen = _reader(shared), Counter()
-        others = np.log10(model.others)
+        log, inside = np.append(reader.log, 0.0), reader.inside
+        rest = np.where(inside, 0.0, log - np.log10(model.others))
         for block in blocks(batches):
-            numbers, sizes, tops, logs, rests, rare, keys = [], [], [], [], [], [], []
-            for text, key in zip(block.column(1).to_pylist(), block.column(2).to_pylist(), strict=True):
-                words = words_of(text)
-                at = reader.numbers(words)
-                row = reader.network_row(at)
-                numbers.append(row.tobytes())
-                sizes.append(len(row))
-                few = np.flatnonzero(at < 0)
-                rare.append([words[i] for i in few.tolist()])
-                tops.append(len(words) - len(few))
-                near = at[at >= 0]
-                logs.append(reader.log[near].sum())
-                rests.append(reader.log[near[~reader.inside[near]]].sum() - others * (~reader.inside[at]).sum())
+            words, at = cut(block.column(1))
+            coded = words.dictionary_encode()
+            index = coded.indices.to_numpy()
+            distinct = reader.numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+            places = distinct[index]
+            n = np.diff(at)
+            # each text's numbers, and the end behind them
+            flat = np.full(len(places) + len(n), model.end, np.int16)
+            flat[np.arange(len(places)) + np.repeat(np.arange(len(n)), n)] = reader.network_numbers(distinct)[index]
+            bounds = 2 * (at + np.arange(len(at)))
+            numbers = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(flat)]).cast(pa.binary())
+            few = places < 0
+            many = np.concatenate([[0], np.cumsum(few)])[at]
+            rare = pa.LargeListArray.from_arrays(pa.array(many), coded.dictionary.take(pa.array(index[few]))).cast(pa.list_(pa.binary()))
+            sums = [np.diff(np.concatenate([[0.0], np.cumsum(x[distinct][index])])[at]) for x in (log, rest)]
+            keys = []
+            for key in block.column(2).to_pylist():
                 keys.append((key + seen[key] * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63))
                 seen[key] += 1
-            arrays = [block.column(0), *block.columns[3:], pa.array(keys, pa.int64()), pa.array(numbers, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tops, pa.int64()), pa.array(np.array(logs, np.float64)), pa.array(np.array(rests, np.float64)), pa.array(rare, pa.list_(pa.binary()))]
+            arrays = [block.column(0), *block.columns[3:], pa.array(keys, pa.int64()), numbers, pa.array(n + 1), pa.array(n - np.diff(many)), pa.array(sums[0]), pa.array(sums[1]), rare]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *block.schema.names[3:], *TOKENIZED])
 
     found = rows.mapInArrow(run, f"{kept}, " + ", ".join(f"{k} {v}" for k, v in TOKENIZED.items()))

@@ -321,7 +321,7 @@ def test_network_gradient_and_likelihood():
         h, total = h0, 0.0
         for t in range(6):
             h = net.step(net.table()[x[t]], h * (x[t] != 2)[:, None])[0]
-            total -= net.log_probability(h, y[t])[0].sum()
+            total -= net.log_probability(h, y[t]).sum()
         return total / 18
 
     grads = net._window(x, y, h0, 2)[1]
@@ -335,7 +335,7 @@ def test_network_gradient_and_likelihood():
         w[i] = old
     rows = [rng.integers(0, 12, n) for n in (1, 7, 150, 64, 65, 3, 0)]
     at = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-    assert np.allclose(net.score(np.concatenate(rows), at, 2, together=16), [plain_log_likelihood(net, r, 2) for r in rows], atol=1e-9)
+    assert np.allclose(net.score(np.concatenate(rows), at, 2, lanes=4, together=16), [plain_log_likelihood(net, r, 2) for r in rows], atol=1e-9)
     assert abs(sum(math.exp(plain_log_likelihood(net, [w], 2)) for w in range(12)) - 1) < 1e-9
 
 
