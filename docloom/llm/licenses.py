@@ -257,23 +257,24 @@ def cut(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 def _best_windows(pos: np.ndarray, pair: np.ndarray, template: Template) -> Iterator[tuple[int, int, int]]:
     """First and last pair and the number of distinct pairs of each window that no neighbour betters; pos rises."""
-    left, have, best = 0, Counter(), None
-    for right in range(len(pos)):
+    left, right, have, best = 0, 0, Counter(), None
+    while right < len(pos) or best:
+        if best and (right == len(pos) or pos[left] > pos[best[1]]):  # go on behind it
+            yield int(pos[best[0]]), int(pos[best[1]]), best[2]
+            left = right = best[1] + 1
+            have, best = Counter(), None
+            continue
         have[pair[right]] += 1
         while pos[right] - pos[left] >= template.width or have[pair[left]] > 1:
             have[pair[left]] -= 1
             if not have[pair[left]]:
                 del have[pair[left]]
             left += 1
-        if best and pos[left] > best[1]:
-            yield best
-            best = None
-        if len(have) >= template.need and (best is None or (len(have), pos[left] - pos[right]) > (best[2], best[0] - best[1])):
-            if best and best[0] < pos[left]:  # what lies before the better window
-                yield best
-            best = int(pos[left]), int(pos[right]), len(have)
-    if best:
-        yield best
+        if len(have) >= template.need and (best is None or (len(have), pos[left] - pos[right]) > (best[2], pos[best[0]] - pos[best[1]])):
+            if best and best[0] < left:  # what lies before the better window
+                yield int(pos[best[0]]), int(pos[best[1]]), best[2]
+            best = left, right, len(have)
+        right += 1
 
 
 def windows(which: np.ndarray, document: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
