@@ -7,7 +7,9 @@ temperature on a part of the sample that the weights haven't seen.
 
 Nulls: a null text and a text without a letter are `und` with score 0; a null doc_id stays null and
 counts as crc32 of the empty text; rows with a null lang are no training rows. Repeated rows are
-predicted each. Empty tables give no rows; without training rows every prediction is `und`.
+predicted each; in the sample an id counts once in a language. Ties of hashes are broken by the id, ties
+of probabilities by the language's name. Texts of any length are read whole. Empty tables give no rows;
+without training rows every prediction is `und`.
 """
 
 from __future__ import annotations
@@ -145,27 +147,37 @@ def _sparse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 features.append(x[0].astype(np.int16).tolist())
                 values.append(x[1].astype(np.int32).tolist())
         rows = block.take(pa.array(keep, pa.int64()))
-        yield pa.RecordBatch.from_arrays([rows.column(2), rows.column(3), pa.array(features, pa.list_(pa.int16())), pa.array(values, pa.list_(pa.int32()))], ["lang", "tie", "feature", "n"])
+        yield pa.RecordBatch.from_arrays([*rows.columns[2:], pa.array(features, pa.list_(pa.int16())), pa.array(values, pa.list_(pa.int32()))], ["lang", "tie", "place", "feature", "n"])
+
+
+def sample(known: DataFrame, per_lang: int = MAX_PER_LANG, most: int = MAX_SAMPLE) -> DataFrame:
+    """lang, tie and the features of per_lang documents of each language at most, and of `most` in all: those with the smallest hashes of their ids.
+
+    An id counts once in a language, however many rows have it: of these, the one whose text has the smallest hash.
+    """
+    ids = known.filter("doc_id is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("tie"))
+    sizes = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("n")).collect()}  # a row for each language
+    cuts = {lang: min(2**63 - 1, int((1.2 * per_lang + 10 * per_lang**0.5 + 100) / max(size, 1) * 2**64) - 2**63) for lang, size in sizes.items()}
+    if cuts:  # of a large language only rows with small hashes are ranked, which are per_lang or more
+        cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
+        ids = ids.filter(F.col("tie") <= F.element_at(cut, F.col("lang")))
+    first = Window.partitionBy("lang").orderBy("tie", "doc_id")
+    chosen = ids.distinct().withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_lang).orderBy("tie", "lang", "doc_id").limit(most).select("doc_id", F.col("lang").alias("known"), "tie")
+    rows = id_and_text(known, known["lang"], F.xxhash64("text").alias("place")).join(F.broadcast(chosen), "doc_id").filter("lang = known")
+    found = rows.select("doc_id", "text", "lang", "tie", "place").mapInArrow(_sparse, "lang string, tie long, place long, feature array<short>, n array<int>")
+    one = found.groupBy("lang", "tie").agg(F.min_by(F.struct("feature", "n"), "place").alias("x"))
+    return one.select("lang", "tie", "x.feature", "x.n")
 
 
 def train(docs: DataFrame, mod: int = 3, held: int = 1, per_lang: int = MAX_PER_LANG) -> Model:
     """A model from texts with a language whose crc32(doc_id) mod `mod` is not `held`."""
     usable = (remainder(docs["doc_id"], mod) != held) & docs["lang"].isNotNull()
-    known = docs.filter(usable)
+    known = docs.filter(usable).select("doc_id", "text", "lang")
     df = id_and_text(known).mapInArrow(_frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
     n = {r["feature"]: r["n"] for r in df}
     total = n.pop(1 << BITS, 0)
     idf = np.log((1 + total) / (1 + np.bincount(list(n), list(n.values()), 1 << BITS))) + 1 if n else np.ones(1 << BITS)
-    ids = known.filter("doc_id is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("tie"))
-    sizes = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
-    cuts = {lang: min(2**63 - 1, int((1.1 * per_lang + 10 * per_lang**0.5 + 100) / size * 2**64) - 2**63) for lang, size in sizes.items()}
-    if cuts:  # of a large language only rows with small hashes are ranked, which are per_lang or more
-        cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
-        ids = ids.filter(F.col("tie") <= F.element_at(cut, F.col("lang")))
-    first = Window.partitionBy("lang").orderBy("tie", "doc_id")
-    sample = ids.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_lang).orderBy("tie", "lang").limit(MAX_SAMPLE).select("doc_id", F.col("lang").alias("known"), "tie")
-    rows = id_and_text(known, known["lang"]).join(F.broadcast(sample), "doc_id").filter("lang = known")
-    found = rows.select("doc_id", "text", "lang", "tie").mapInArrow(_sparse, "lang string, tie long, feature array<short>, n array<int>").toArrow()
+    found = sample(known, per_lang).toArrow()
     got = sorted(zip(*(found.column(c).to_pylist() for c in ("tie", "lang", "feature", "n")), strict=True))
     return fit([(np.array(f, np.int16).astype(np.int64), np.array(c), lang) for _, lang, f, c in got], idf)
 

@@ -6,7 +6,9 @@ flattened into arrays; a block of documents walks all of them level by level in
 
 Nulls: a null text is empty and scored like any other; a null doc_id stays null, is no training row
 and counts as crc32 of the empty text for held_out. Null labels are no training rows. Repeated rows
-are scored each. Empty tables give no rows; without two classes the score is the labels' mean, or 0.5.
+are scored each; in the sample an id counts once. Ties of hashes are broken by the id, of splits by the
+first feature and bound. Texts of any length are read whole. Empty tables give no rows; without two
+classes the score is the labels' mean, or 0.5.
 """
 
 from __future__ import annotations
@@ -112,20 +114,28 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, bins: int
 def _gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches):
         x = statistics(block.column(1))
-        yield pa.RecordBatch.from_arrays([block.column(2), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], ["quality", "x"])
+        yield pa.RecordBatch.from_arrays([block.column(0), *block.columns[2:], pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], ["doc_id", "quality", "place", "x"])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, mod: int = 5, held: int = 0) -> Trees:
-    """Trees from labelled rows of docs whose crc32(doc_id) mod `mod` is not `held`.
+def sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, mod: int = 5, held: int = 0) -> DataFrame:
+    """doc_id, quality and statistics x of max_labelled labelled documents at most, whose crc32(doc_id) mod `mod` is not `held`.
 
-    At most max_labelled labels are taken, those with the smallest hashes of their ids; they alone
-    are broadcast, so that texts aren't shuffled.
+    Those with the smallest hashes of their ids are taken; the ids alone are broadcast, so that texts
+    aren't shuffled. An id counts once: with its smallest label, and of several rows the one whose text
+    has the smallest hash.
     """
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (remainder(F.col("doc_id"), mod) != held))
-    sample = smallest_hashes(known.withColumn("tie", F.xxhash64("doc_id")), "tie", max_labelled, "doc_id", "quality")
-    rows = id_and_text(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "quality")
-    found = rows.mapInArrow(_gather, "quality int, x array<double>").toArrow().combine_chunks()
-    x = found.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    chosen = smallest_hashes(known.withColumn("tie", F.xxhash64("doc_id")), "tie", max_labelled, "doc_id")
+    rows = id_and_text(docs, F.xxhash64(docs["text"]).alias("place")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality", "place")
+    found = rows.mapInArrow(_gather, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, place long, x array<double>")
+    return found.groupBy("doc_id", "quality").agg(F.min_by("x", "place").alias("x"))
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, mod: int = 5, held: int = 0) -> Trees:
+    """Trees from a bounded sample of labelled rows."""
+    found = sample(docs, labels, max_labelled, mod, held).toArrow().combine_chunks()
+    x = np.array(found.column("x").to_pylist(), np.float64).reshape(-1, len(FEATURES))
     y = found.column("quality").to_numpy().astype(np.float64)
     order = np.lexsort([*x.T, y])  # the rows come in any order; sums in floating point must not depend on it
     return fit(x[order], y[order])
