@@ -13,5 +13,6 @@ QUERIES = {
     "op8_lm": lm.query,
     "op9_langid": langid.query,
     "op10_packing": packing.query,
+    "rules_ablation": rules.ablation_query,
 }
-ORACLE_SQL: dict[str, str] = {"op6_rules": rules.SQL}
+ORACLE_SQL: dict[str, str] = {"op6_rules": rules.SQL, "rules_ablation": rules.ABLATION_SQL}

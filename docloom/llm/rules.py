@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, blocks, documents, id_and_text, text_bytes
+from .common import SPACE, blocks, documents, id_and_text, text_bytes, write_table
 from .common import per_row as sums
 
 #: Rules in the order of their bits, each with the condition under which a document fails it.
@@ -138,10 +138,19 @@ def ablation(rows: DataFrame, version: int = CURRENT) -> DataFrame:
     return rows.agg(F.array(*each).alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
 
+def stored_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of documents, written once and read back: policies and ablations need no texts."""
+    return write_table(ledger(documents(spark, sf_dir)), "rule-ledger")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = verdict(ledger(documents(spark, sf_dir)))
+    rows = verdict(stored_ledger(spark, sf_dir))
     failed = F.col("failures").bitwiseAND(F.lit(policy_mask(BASE))) != 0
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "kept", "failures")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "kept", "failures", "policy")
+
+
+def ablation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ablation(stored_ledger(spark, sf_dir))
 
 
 #: The same in SQL: windows by position, lines by number.
@@ -167,9 +176,14 @@ a AS (SELECT m.*, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0)
       FROM m LEFT JOIN p USING (r) LEFT JOIN l USING (r)),
 f AS (SELECT *, CAST({bits} AS BIGINT) AS failures FROM a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (failures & {base}) <> 0 AS base_failed, (failures & {mask}) = 0 AS kept, failures
+       (failures & {base}) <> 0 AS base_failed, (failures & {mask}) = 0 AS kept, failures, {version} AS policy
 FROM f
-""".format(bits=" + ".join(f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(RULES.values())), base=policy_mask(BASE), mask=policy_mask(CURRENT))
+""".format(bits=" + ".join(f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(RULES.values())), base=policy_mask(BASE), mask=policy_mask(CURRENT), version=CURRENT)
+
+ABLATION_SQL = f"WITH ledger AS ({SQL}), r(rule, bit) AS (VALUES " + ", ".join(f"('{x}', {1 << list(RULES).index(x)})" for x in RULES if x in POLICIES[CURRENT]) + f""")
+SELECT rule, count(*) FILTER (WHERE failures & bit <> 0) AS failed, count(*) FILTER (WHERE failures & {policy_mask(CURRENT)} = bit) AS failed_only_this,
+       count(*) FILTER (WHERE (failures & {policy_mask(CURRENT)}) - (failures & bit) = 0) AS kept_without
+FROM r CROSS JOIN ledger GROUP BY rule"""
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
