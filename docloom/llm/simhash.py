@@ -8,8 +8,12 @@ Equal fingerprints are one vertex; components of the verified links are found by
 large-star and small-star rounds over checkpointed edges.
 
 Nulls: a null text is empty, with fingerprint zero; a row with a null doc_id takes part and has the
-smallest non-null id of its component, or null. Repeated rows are members like any other. An empty
-table gives no rows. Other columns don't matter.
+smallest non-null id of its component, or null. Repeated rows are members like any other. Texts of any
+length are read whole, shingle by shingle. An empty table gives no rows. Other columns don't matter.
+
+Rows with one half in common meet in one task unless adaptive execution splits them: these are distinct
+fingerprints, which share 32 bits by chance only if they are near, so that a key holds few but for texts
+made to collide; below the threshold of skew such a key is joined in one task.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, documents, id_and_text, write_table
+from .common import blocks, documents, drop_table, id_and_text, write_table
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 SEED, SHINGLE, MAX_BITS = 42, 3, 3
@@ -97,7 +101,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges = write_table(edges.select("a", "b").distinct(), "edges")
     was = state(edges)
     for _ in range(max_rounds if was[0] else 0):
-        edges = write_table(star(star(edges, True), False), "edges")
+        new = write_table(star(star(edges, True), False), "edges")
+        drop_table(edges)
+        edges = new
         if (now := state(edges)) == was:
             break
         was = now
@@ -128,13 +134,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id, of repeated rows one."""
+    """One document of each component stays: the one with the smallest doc_id, null last, then with the smallest hash of its text; of repeated rows one."""
     tie = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     found = near_duplicates(docs, MAX_BITS, tie.alias("tie"))
     kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("k"))
-    id_of = lambda c: [F.coalesce(c, F.lit(0)).alias("__id"), c.isNull().alias("__none")]  # noqa: E731  plain keys, so that the join and the window share one exchange
-    keys = ["__id", "__none", "__tie"]
-    kept = kept.select(*id_of(F.col("k.doc_id")), F.col("k.tie").alias("__tie"))
-    rows = docs.select("*", *id_of(docs["doc_id"]), tie.alias("__tie")).join(kept, keys, "left_semi")
-    one = rows.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id")))
-    return one.filter("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    zero = F.lit(0).cast(docs.schema["doc_id"].dataType)
+    id_of = lambda c: [F.coalesce(c, zero).alias("id"), c.isNull().alias("none")]  # noqa: E731  plain keys, so that the join and the window share one exchange
+    keys = ["id", "none", "tie"]
+    whole = F.struct(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("whole")
+    rows = docs.select(whole, *id_of(docs["doc_id"]), tie.alias("tie")).join(kept.select(*id_of(F.col("k.doc_id")), F.col("k.tie").alias("tie")), keys, "left_semi")
+    one = rows.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy("id"))).filter("n = 1")
+    return one.select(*[F.col(f"whole.c{i}").alias(c) for i, c in enumerate(docs.columns)])
