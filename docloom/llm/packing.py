@@ -113,13 +113,14 @@ def step_groups(windows: list[list[tuple]], step_tokens: int = STEP_TOKENS) -> l
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, tiers: tuple[int, ...] = TIERS, pool_tokens: int = POOL_TOKENS, step_tokens: int = STEP_TOKENS, with_ids: bool = True) -> DataFrame:
-    """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group, and ids if asked for.
+    """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group, row, and ids if asked for.
 
-    Partitions are packed as they are read, with no shuffle; sequence_id and step_group carry the
-    partition's number in their high bits.
+    Partitions are packed as they are read, with no shuffle; sequence_id, step_group and row carry the
+    partition's number in their high bits. `row` numbers the table's rows, and so tells pieces of rows
+    apart that have one doc_id.
     """
     path, kind = tokenizer or default_path(), docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group"]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group", "row"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, base = library_ids(path), TaskContext.get().partitionId() << PART_BITS
@@ -136,7 +137,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
                 for doc, start, length in window:
                     doc_id, total, ids = pending[doc]
                     own = ids[start : start + length]
-                    rows.append((doc_id, start, length, zlib.crc32(own), total, base + sequence, offset, size, base + group + g))
+                    rows.append((doc_id, start, length, zlib.crc32(own), total, base + sequence, offset, size, base + group + g, base + doc))
                     kept.append(own)
                     offset += length
                 sequence += 1

@@ -1,7 +1,9 @@
 """Token ids in ORC files: integer run-length encoding, row indexes and Bloom filters on document ids.
 
-Nulls: a null text is empty and has only the end id; a null doc_id sorts first. Repeated ids keep all
-their rows, ordered by text. An empty table gives files without rows. Other columns are left out.
+Nulls: a null text is empty and has only the end id; a null doc_id sorts first. doc_id must fit a long.
+Repeated ids keep all their rows, ordered by a hash of the text and then by the text; equal rows are
+interchangeable, and told apart only so that they need not lie in one range. Texts of any length are
+encoded whole. An empty table gives files without rows. Other columns are left out.
 """
 
 from __future__ import annotations
@@ -43,8 +45,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     whose ids are run-length encoded. `part` numbers the ranges in order and `part_start` counts the
     ids before a document in its range, so that places in the whole stream need only sums by range.
     """
-    rows = id_and_text(docs).withColumn("tie", F.xxhash64("text"))
-    ranged = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
+    rows = id_and_text(docs).withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    ranged = rows.repartitionByRange("doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
     (
         ranged.mapInArrow(_encode(tokenizer or default_path(), end_id), SCHEMA)
         .write.option("compression", "zstd").option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
