@@ -47,7 +47,10 @@ def empty(awkward, tmp_path_factory):
     return str(d)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+OPERATORS = [name for name in QUERIES if name.startswith("op")]
+
+
+@pytest.mark.parametrize("name", OPERATORS)
 def test_awkward_rows(spark, awkward, name):
     got = QUERIES[name](spark, awkward[0]).toPandas()
     if name != "op10_packing":
@@ -55,7 +58,7 @@ def test_awkward_rows(spark, awkward, name):
     assert Counter(-1 if pd.isna(x) else int(x) for x in got.doc_id).keys() == {-1 if r[0] is None else r[0] for r in awkward[1]}
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", OPERATORS)
 def test_empty_tables(spark, empty, name):
     assert QUERIES[name](spark, empty).count() == 0
 
@@ -207,7 +210,8 @@ def test_components_of_a_chain_and_a_star(spark):
 def test_sketch(spark, awkward):
     d, rows = awkward
     got = QUERIES["op2_sketch"](spark, d).toPandas()
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    signed = lambda t: (h := xxhash.xxh64_intdigest(t.encode(), 42)) - (h >> 63 << 64)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(r[1] or ""), r[1] or ""))
     want = Counter()
     for i, r in enumerate(order):
         t, n = r[1] or "", order[(i + 1) % len(order)][1] or ""
@@ -228,7 +232,8 @@ def test_sketch_estimates(spark, texts):
     long = sorted(texts.values(), key=len)[-20:]
     pairs = [(t, t[: len(t) // 3 * 2] + u[: len(t) // 3]) for t, u in zip(long, long[1:], strict=False)]
     df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", sketch.sketch(F.col("a")).alias("x"), sketch.sketch(F.col("b")).alias("y"))
-    for r in df.select("a", "b", sketch.likeness(F.col("x"), F.col("y")).alias("j"), sketch.containment(F.col("x"), F.col("y")).alias("c"), (sketch.merge(F.col("x"), F.col("y")) == F.array_sort(F.array_union("x", "y"))).alias("m")).collect():
+    none = F.lit(None).cast("long")
+    for r in df.select("a", "b", sketch.likeness(F.col("x"), F.col("y"), none, none).alias("j"), sketch.containment(F.col("x"), F.col("y")).alias("c"), (sketch.merge(F.col("x"), F.col("y")) == F.array_sort(F.array_union("x", "y"))).alias("m")).collect():
         a, b = grams(r.a), grams(r.b)
         assert abs(r.j - len(a & b) / len(a | b)) < 0.12 and abs(r.c - len(a & b) / len(a)) < 0.12 and r.m
 
