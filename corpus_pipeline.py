@@ -1,4 +1,11 @@
-"""The corpus pipeline: its stages, each over all that its predecessor kept."""
+"""The corpus pipeline: its stages, each over all that its predecessor kept.
+
+Nulls: a null text is empty, and the rules reject it; a null doc_id stays null, and such documents are
+kept or dropped by their texts like others. Repeated rows are judged each, and the near-duplicate stage
+leaves one row of them. Ties between copies go to the smallest doc_id, null last, then to the smallest
+hash of the text. Texts of any length are read whole. An empty table gives no rows. Further columns of
+documents, whatever their names, pass through all stages but the last.
+"""
 
 from __future__ import annotations
 
