@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -125,22 +126,30 @@ class Engine:
         return self.search(question, k, cap, company=company) if company or not split else self.search_multi(question, k, cap)
 
     def evaluate(self, questions: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:
-        """Metrics of each question (files.QUESTION) and their means. Questions are a short list, asked one by one."""
-        hits = None
+        """Metrics of each question (files.QUESTION) and their means. Questions are a short list, asked one by one. Names and sections are compared without blanks."""
+        hits, wanted_rows = None, []
+        bare = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", "")
         for q in questions.collect():
-            found = self.ask(q["question"], k, company=q["company"]).select(F.lit(q["id"]).alias("id"), "rank", "company", F.array_join(F.coalesce("section_path", F.array().cast("array<string>")), " > ").alias("section"), F.coalesce("document_title", F.lit("")).alias("title"))
-            wanted = [F.contains(F.regexp_replace(F.concat("section", F.lit("|"), "title"), r"(?U)\s+", ""), F.lit("".join(x.split()))) for x in q["expect_any"] or []]
-            ok = F.lit(None).cast("boolean") if not wanted else F.greatest(*wanted, F.lit(False))
-            found = found.withColumn("ok", ok).withColumn("company_ok", F.col("company") == q["company"] if q["company"] else F.lit(None).cast("boolean"))
+            wanted_rows.append((q["id"], ["".join(x.split()) for x in q["expect_companies"] or []]))
+            found = self.ask(q["question"], k, company=q["company"]).select(F.lit(q["id"]).alias("id"), "rank", bare(F.col("company")).alias("company"), bare(F.concat(F.array_join(F.coalesce("section_path", F.array().cast("array<string>")), " > "), F.lit("|"), F.coalesce("document_title", F.lit("")))).alias("place"))
+            wanted = [F.contains("place", F.lit("".join(x.split()))) for x in q["expect_any"] or []]
+            ok = F.lit(None).cast("boolean") if not wanted else reduce(lambda a, b: a | b, wanted)
+            found = found.withColumn("ok", ok).withColumn("company_ok", F.col("company") == "".join(q["company"].split()) if q["company"] else F.lit(None).cast("boolean"))
             hits = found if hits is None else hits.unionByName(found)
-        each = R.metrics(hits, ["id"], k).join(hits.groupBy("id").agg(F.avg(F.col("company_ok").cast("double")).alias("company_at_k")), "id")
-        return each, R.means(each, ["hit_1", "hit_k", "mrr", "company_at_k"])
+        wanted = self.spark.createDataFrame(wanted_rows, "id string, wanted array<string>")
+        seen = hits.groupBy("id").agg(F.collect_set("company").alias("seen")).join(F.broadcast(wanted), "id")  # a row for each question of the list
+        each = R.metrics(hits, ["id"], k, company_ok="company_ok").join(seen.select("id", F.bround(R.entity_coverage(F.col("wanted"), F.col("seen")), 4).alias("entity_coverage")), "id")
+        return each, R.means(each, ["hit_1", "hit_k", "mrr", "company_1", "company_k", "strict_1", "entity_coverage"])
 
-    def sweep(self, question: str, settings: list[tuple[float, float]], k: int = 5) -> DataFrame:
-        """One scoring, ranked for each pair of weights; two equal pairs of zeros are left out."""
+    def sweep(self, questions: str | DataFrame, settings: list[tuple[float, float]], k: int = 5) -> DataFrame:
+        """Each question (one, or a table of id and question) scored once and ranked for each pair of weights; two equal pairs of zeros are left out."""
         pairs = F.array(*[F.struct(F.lit(float(d)).alias("w_dense"), F.lit(float(s)).alias("w_sparse")) for d, s in settings if (d, s) != (0, 0)])
-        rows = self.scored(question).drop("score").withColumn("w", F.explode(pairs)).select("*", "w.*")
-        return R.top_k_each(rows.withColumn("score", F.col("w_dense") * F.col("dense") + F.col("w_sparse") * F.coalesce("sparse", F.lit(0.0))), ["w_dense", "w_sparse"], k)
+        rows = None
+        for i, text in [("0", questions)] if isinstance(questions, str) else [(r["id"], r["question"]) for r in questions.select("id", "question").collect()]:
+            one = self.scored(text).drop("score").withColumn("id", F.lit(i))
+            rows = one if rows is None else rows.unionByName(one)
+        rows = rows.withColumn("w", F.explode(pairs)).select("*", "w.*")
+        return R.top_k_each(rows.withColumn("score", F.col("w_dense") * F.col("dense") + F.col("w_sparse") * F.coalesce("sparse", F.lit(0.0))), ["id", "w_dense", "w_sparse"], k)
 
 
 def re_embedding_cosine(index: DataFrame, encoder: Encoder, text: str = "embedding_text", fraction: float = 0.01, seed: int = 7) -> DataFrame:

@@ -12,9 +12,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANK = r"(?U)\s+"
-#: Characters that render as nothing, and spaces that are not U+0020.
-INVISIBLE = "[​‌‍⁠﻿­]"
-WIDE_SPACE = "[ 　]"
+#: Characters that render as nothing, control characters among them, and spaces that are not U+0020.
+INVISIBLE = r"[\u200b-\u200d\ufeff\x00-\x08\x0b\x0c\x0e-\x1f]"
+WIDE_SPACE = r"[\u00a0\u3000]"
+#: A unit caption, a number in a cell, a footnote's first character, and what shows that a text tells its unit.
+UNIT_CAPTION = r"(?U)\(\s*단\s*위\s*[:：]\s*([^)]*)\)"
+NUMBER = r"^-?[0-9,]+(?:\.[0-9]+)?$"
+FOOTNOTE = r"(?U)^\s*[※*＊]"
+UNIT_ANYWHERE = r"(?U)단\s*위\s*[:：]|\(단위|\(원\)|\(주\)|\(%\)|백만원|천원|억원|만원|조원|원\)|주\)|％|%\)|미\s*달러|USD|천주|백만주"
+#: A period's number, the whole label with what may follow it in running text, and a date.
+PERIOD = r"제\s*[0-9]{1,3}\s*기"
+PERIOD_LABEL = PERIOD + r"(?:\s*[0-9]{1,2}\s*분기|\s*반기)?(?:\s*(?:기말|기초|말|초))?(?:\s*(?:누적|[0-9]{1,2}\s*개월))?"
+DATE = r"[0-9]{4}[.\-/년]\s*[0-9]{1,2}[.\-/월]\s*[0-9]{1,2}"
 #: Cells that stand for "nothing here".
 EMPTY_VALUES = ("-", "–", "—", "", ".", "·")
 #: Legal forms that are no part of a company's bare name.
@@ -29,14 +38,14 @@ def strip(text: Column) -> Column:
 
 def clean(text: Column) -> Column:
     """Wide spaces become spaces, invisible characters go, runs of blanks become one, lines are trimmed and blank lines dropped."""
-    plain = F.regexp_replace(F.regexp_replace(text, INVISIBLE, ""), WIDE_SPACE, " ")
-    lines = F.transform(F.split(plain, "\r?\n"), lambda x: strip(F.regexp_replace(x, r"[ \t]{2,}", " ")))
+    plain = F.regexp_replace(F.regexp_replace(text, WIDE_SPACE, " "), INVISIBLE, "")
+    lines = F.transform(F.split(plain, "\n"), lambda x: strip(F.regexp_replace(x, r"[ \t]{2,}", " ")))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
 def flat(text: Column) -> Column:
     """clean() on one line."""
-    return strip(F.regexp_replace(F.regexp_replace(clean(text), "\n", " "), " {2,}", " "))
+    return strip(F.regexp_replace(F.regexp_replace(clean(text), "\n", " "), r"[ \t]{2,}", " "))
 
 
 def escape_cell(text: Column, line_break: str = "<br>", trim: bool = True) -> Column:
@@ -86,26 +95,26 @@ def safe_filename(name: Column) -> Column:
 
 def normal_label(label: Column) -> Column:
     """A row label without spaces, a note reference at its end, and numbering at its beginning."""
-    out = F.regexp_replace(without_blanks(label), r"\(주석?[0-9,]*\)$", "")
-    return F.regexp_replace(out, r"^(?:(?:[0-9]+|[IVXⅠ-Ⅿ]+|[가-하])[.)]){1,3}", "")
+    out = F.regexp_replace(without_blanks(label), r"\(주[0-9][^)]*\)$", "")
+    return F.regexp_replace(out, r"^(?:(?:[ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩIVXivx]{1,5}|[0-9]{1,2}|[가-힣])[.)]){1,3}", "")
 
 
 def caption_unit(text: Column) -> Column:
-    """X of `(단위 : X)`; null without it."""
-    found = strip(F.regexp_extract(text, r"\(\s*단위\s*[:：]\s*([^)]*)\)", 1))
-    return F.when(found != "", found)
+    """X of `(단위 : X)`, which may be empty; null without it."""
+    return F.when(text.rlike(UNIT_CAPTION), strip(F.regexp_extract(text, UNIT_CAPTION, 1)))
 
 
 def caption_kind(text: Column) -> Column:
     """unit, footnote or null; unit wins."""
-    return F.when(text.rlike(r"\(\s*단위\s*[:：]"), "unit").when(strip(text).rlike(r"^(※|＊|\*|주\s*[0-9]*\s*\))"), "footnote")
+    return F.when(text.rlike(r"(?U)\(\s*단\s*위\s*[:：]"), "unit").when(text.rlike(FOOTNOTE), "footnote")
 
 
 def statement_code(code: Column) -> Column:
-    """Statement, basis and variant of a code such as {XBRL}IS_C3; null for others."""
-    part = lambda k: F.nullif(F.regexp_extract(code, r"^\{XBRL\}(BS|IS|CF|EF)(?:_([CS])(\d*))?$", k), F.lit(""))
+    """Statement, basis, where the basis is from, and variant of a code such as {XBRL}IS_C3 or {XBRL}IS1; null for others."""
+    part = lambda k: F.nullif(F.regexp_extract(strip(code), r"^\{XBRL\}(BS|IS|CF|EF)(?:_([SC]))?([0-9])?$", k), F.lit(""))
     basis = F.when(part(2) == "S", "separate").otherwise("consolidated")
-    return F.when(part(1).isNotNull(), F.struct(part(1).alias("statement"), basis.alias("basis"), part(3).cast("int").alias("variant")))
+    source = F.when(part(2).isNull(), "inferred_no_suffix").otherwise("suffix")
+    return F.when(part(1).isNotNull(), F.struct(part(1).alias("statement"), basis.alias("basis"), part(3).cast("int").alias("variant"), source.alias("basis_source")))
 
 
 def empty_value(text: Column) -> Column:
@@ -113,10 +122,12 @@ def empty_value(text: Column) -> Column:
 
 
 def number(text: Column) -> Column:
-    """1,234 and (1,234) as doubles; null for anything else."""
-    plain = F.regexp_replace(strip(text), r"[,\s]", "")
-    inner = F.regexp_extract(plain, r"^\((.+)\)$", 1)
-    return F.when(inner != "", -inner.try_cast("double")).otherwise(plain.try_cast("double"))
+    """1,234, -5.5 and (1,234) as doubles; null for anything else."""
+    plain = F.replace(strip(text), F.lit(" "), F.lit(""))
+    negative = plain.startswith("(") & plain.endswith(")")
+    inner = F.when(negative, F.regexp_replace(plain, r"^\(|\)$", "")).otherwise(plain)
+    found = F.when(inner.rlike(NUMBER), F.replace(inner, F.lit(","), F.lit("")).try_cast("double"))
+    return F.when(negative, -found).otherwise(found)
 
 
 def whole(text: Column, default: int) -> Column:
@@ -141,8 +152,8 @@ def unit_value_dates(text: Column) -> Column:
 
 def dates_in(text: Column) -> Column:
     """ISO dates for every 2023.03.31, 2023-3-31 or 2023년 3월 31일 of a text."""
-    found = F.regexp_extract_all(text, F.lit(r"(\d{4}\s*[.\-/년]\s*\d{1,2}\s*[.\-/월]\s*\d{1,2})"), F.lit(1))
-    return F.transform(found, lambda x: iso_parts(F.regexp_extract(x, r"^(\d{4})", 1), F.regexp_extract(x, r"^\d{4}\D+(\d{1,2})", 1), F.regexp_extract(x, r"(\d{1,2})$", 1)))
+    found = F.regexp_extract_all(text, F.lit(f"(?U)({DATE})"), F.lit(1))
+    return F.transform(found, lambda x: iso_parts(F.regexp_extract(x, r"^([0-9]{4})", 1), F.regexp_extract(x, r"^[0-9]{4}[^0-9]+([0-9]{1,2})", 1), F.regexp_extract(x, r"([0-9]{1,2})$", 1)))
 
 
 def period_of(text: Column) -> Column:
@@ -152,9 +163,25 @@ def period_of(text: Column) -> Column:
     return F.struct(kind.alias("kind"), F.get(d, F.lit(0)).alias("begin"), F.when(F.size(d) >= 2, F.get(d, F.lit(1))).alias("end"))
 
 
-def period_label(text: Column) -> Column:
-    """What stands before the first date."""
-    return F.nullif(strip(F.regexp_extract(text, r"^(.*?)\d{4}\s*[.\-/년]", 1)), F.lit(""))
+def one_blank(text: Column) -> Column:
+    """Trimmed, runs of white space as one space."""
+    return strip(F.regexp_replace(text, BLANK, " "))
+
+
+def period_label(text: Column, caption: bool = False) -> Column:
+    """The label of the first period that a text names (`제 N 기` ...): up to the first date behind it, or else as far as a label may go; null without one.
+
+    In a caption without a date the label goes on to the end.
+    """
+    behind = F.regexp_extract(text, f"(?sU){PERIOD}.*", 0)
+    dated = behind.rlike(f"(?U){DATE}")
+    plain = behind if caption else F.regexp_extract(behind, f"(?U)^{PERIOD_LABEL}", 0)
+    return F.when(behind != "", one_blank(F.when(dated, F.regexp_extract(behind, f"(?sU)^(.*?){DATE}", 1)).otherwise(plain)))
+
+
+def period_labels(text: Column) -> Column:
+    """All labels that a text names, in order, each as far as a label may go."""
+    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?U)({PERIOD_LABEL})"), F.lit(1)), lambda x: F.regexp_replace(x, BLANK, " "))
 
 
 def period_display(period: Column) -> Column:
@@ -204,11 +231,17 @@ def truncate(text: Column, cap: int, mark: str = "…") -> Column:
     return F.when(F.length(text) > cap, F.concat(F.substring(text, 1, cap), F.lit(mark))).otherwise(text)
 
 
-def context_header(corp: Column, report: Column, date: Column, path: Column, unit: Column | None = None) -> Column:
-    """Lines that make a chunk stand alone: who, what and when; the section path; the unit."""
-    lines = [F.concat(F.lit("["), F.concat_ws(" · ", corp, report, date), F.lit("]")), F.when(F.size(path) > 0, F.concat(F.lit("> "), F.array_join(path, " > ")))]
+def context_header(corp: Column, report: Column, date: Column, path: Column, unit: Column | None = None, dates: Column | None = None, extra: Column | None = None) -> Column:
+    """Lines that make a chunk stand alone: who, what and when; the section path; the unit; periods (label, shown) with their dates; a note."""
+    filled = lambda c: F.nullif(c, F.lit(""))
+    who = filled(F.concat_ws(" · ", filled(corp), filled(report), filled(date)))
+    lines = [F.concat(F.lit("["), who, F.lit("]")), F.when(F.size(path) > 0, F.concat(F.lit("> "), F.array_join(path, " > ")))]
     if unit is not None:
-        lines.append(F.when(unit.isNotNull(), F.concat(F.lit("(단위: "), unit, F.lit(")"))))
+        lines.append(F.concat(F.lit("(단위: "), filled(unit), F.lit(")")))
+    if dates is not None:
+        lines.append(F.when(F.size(dates) > 0, F.concat(F.lit("("), F.array_join(F.transform(dates, lambda x: F.concat(x["label"], F.lit(" = "), x["shown"])), " · "), F.lit(")"))))
+    if extra is not None:
+        lines.append(extra)
     return F.concat_ws("\n", *lines)
 
 

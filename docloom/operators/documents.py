@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.functions.scalars import dates_in, escape_cell, kv_line, period_label, period_of
+from docloom.functions.scalars import dates_in, escape_cell, kv_line, period_label, period_labels, period_of, without_blanks
 
 from .windows import first_wins
 
@@ -20,11 +20,21 @@ def document_index(manifest: DataFrame, blocks: DataFrame, key: str = "doc_id")
 
 
 def period_dictionary(blocks: DataFrame, key: str, text: Column) -> DataFrame:
-    """For each document and label: its period at the first place with a date, occurrences, and whether it is resolved."""
-    rows = blocks.select(key, "seq", F.coalesce(period_label(text), F.trim(text)).alias("label"), period_of(text).alias("period"))
-    dated = first_wins(rows.filter("period.kind != 'unknown'").select(key, "label", "seq", "period"), [key, "label"], ["seq"])
-    counts = rows.groupBy(key, "label").agg(F.count("*").alias("n"))
-    return counts.join(dated.drop("seq"), [key, "label"], "left").withColumn("resolved", F.col("period").isNotNull())
+    """For each document and period label: occurrences, the period, the dated label it is from, what the label has more than that (`qualifier`), and whether it is resolved.
+
+    blocks: rows of lines with `seq`. Periods are those of labels on one line with a date, the first of
+    each label. A label without an own date has that of the longest dated label that it begins with.
+    """
+    lines = blocks.select(key, "seq", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    place = F.struct("seq", "line_no")
+    dated = lines.select(key, place.alias("place"), period_label(F.col("line"), caption=True).alias("dated_label"), period_of(F.col("line")).alias("period")).filter("dated_label is not null and period.kind != 'unknown'")
+    dated = first_wins(dated.withColumn("dated_key", without_blanks(F.col("dated_label"))), [key, "dated_key"], ["place"]).filter("dated_key != ''")
+    named = blocks.select(key, "seq", F.posexplode(period_labels(text)).alias("pos", "label")).withColumn("label_key", without_blanks(F.col("label")))
+    labels = named.groupBy(key, "label_key").agg(F.count("*").alias("n"), F.min(F.struct("seq", "pos", "label")).alias("first"))
+    met = labels.join(dated, key).filter(F.startswith(F.col("label_key"), F.col("dated_key")))
+    best = met.groupBy(key, "label_key").agg(F.max_by(F.struct("period", "dated_label", F.substring("label_key", F.length("dated_key") + 1, F.length("label_key")).alias("qualifier")), F.length("dated_key")).alias("b"))
+    found = labels.join(best, [key, "label_key"], "left")
+    return found.select(key, F.col("first.label").alias("label"), F.struct("first.seq", "first.pos").alias("place"), "n", "b.period", F.col("b.dated_label").alias("matched"), F.nullif("b.qualifier", F.lit("")).alias("qualifier"), F.col("b").isNotNull().alias("resolved"))
 
 
 def ungrounded_dates(periods: DataFrame, bodies: DataFrame, key: str, text: str) -> DataFrame:

@@ -26,17 +26,19 @@ def flat_text(node: Node) -> str:
 def tables_with_path(root: Node) -> Iterator[tuple[Node, list[str]]]:
     """Outer tables in document order, each with the titles that are open at its depth."""
 
-    def walk(node: Node, depth: int, titles: list[str]) -> Iterator[tuple[Node, list[str]]]:
-        for x in node.nodes():
-            if x.tag in NAMES:
-                if name := flat_text(x):
-                    titles = [*titles[:depth], name]
-            elif x.tag == "table":
-                yield x, titles
-            else:
-                yield from walk(x, depth + 1, titles)
-
-    yield from walk(root, 0, [])
+    stack: list[list] = [[root.nodes(), 0, []]]  # what is left of an element, its depth, the titles open in it
+    while stack:
+        rest, depth, titles = stack[-1]
+        x = next(rest, None)
+        if x is None:
+            stack.pop()
+        elif x.tag in NAMES:
+            if name := flat_text(x):
+                stack[-1][2] = [*titles[:depth], name]
+        elif x.tag == "table":
+            yield x, titles
+        else:
+            stack.append([x.nodes(), depth + 1, titles])
 
 
 def rows_of(table: Node) -> list[list[Node]]:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,14 +58,18 @@ def top_k_each(scored: DataFrame, by: list[str], k: int, row: str = "row", score
     return scored.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
-def capped_top_k(scored: DataFrame, k: int, cap: int, doc: str, row: str = "row", score: str = "score") -> DataFrame:
-    """The k best with at most `cap` of each document: the same as taking greedily in order."""
-    w = Window.partitionBy(doc).orderBy(F.desc(score), row)
-    return top_k(scored.withColumn("in_doc", F.row_number().over(w)).filter(F.col("in_doc") <= cap).drop("in_doc"), k, row, score)
+def capped_top_k(scored: DataFrame, k: int, cap: int, doc: str, row: str = "row", score: str = "score", by: list[str] | None = None) -> DataFrame:
+    """The k best, of each key if any, with at most `cap` of each document: the same as taking greedily in order."""
+    w = Window.partitionBy(*(by or []), doc).orderBy(F.desc(score), row)
+    kept = scored.withColumn("in_doc", F.row_number().over(w)).filter(F.col("in_doc") <= cap).drop("in_doc")
+    return top_k_each(kept, by, k, row, score) if by else top_k(kept, k, row, score)
 
 
-def interleave(ranked: DataFrame, k: int, entity_order: str, rank: str = "rank") -> DataFrame:
-    """Lists of several entities in turn, cut to k and numbered anew as `position`."""
+def interleave(ranked: DataFrame, k: int, entity_order: str, rank: str = "rank", by: list[str] | None = None) -> DataFrame:
+    """Lists of several entities in turn, cut to k (for each key if any) and numbered anew as `position`."""
+    if by:
+        w = Window.partitionBy(*by).orderBy(rank, entity_order)
+        return ranked.withColumn("position", F.row_number().over(w).cast("long")).filter(F.col("position") <= k)
     w = Window.orderBy(rank, entity_order)
     return ranked.orderBy(rank, entity_order).limit(k).withColumn("position", F.row_number().over(w).cast("long"))
 
@@ -82,13 +89,15 @@ def superseded(df: DataFrame, by: list[str], receipt: str, applies: Column | Non
 
 
 def detect_entities(queries: DataFrame, names: DataFrame, query_id: str, text: str, name: str) -> DataFrame:
-    """Names that occur in each text, the longest first, none within a span already taken; by position.
+    """Names that occur in each text, wherever in a word; the longest first, each at its first place, none within a span already taken; by position.
 
-    `names` is a dictionary: it is met through its first word, so that texts and names join by equality.
+    `names` is a dictionary: it is met through its first two characters, which every place of a text
+    has, so that texts and names join by equality and particles behind a name don't matter.
     """
-    words = F.array_distinct(F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: w != ""))
-    left = queries.select(query_id, text, F.explode(words).alias("__w"))
-    right = names.select(F.col(name), F.element_at(F.filter(F.split(name, r"[^\p{L}\p{N}]+"), lambda w: w != ""), 1).alias("__w")).filter("__w is not null").distinct()
+    places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    begins = F.array_distinct(F.concat(F.transform(places, lambda i: F.substring(F.col(text), i, F.lit(2))), F.transform(places, lambda i: F.substring(F.col(text), i, F.lit(1)))))
+    left = queries.filter(F.length(text) > 0).select(query_id, text, F.explode(begins).alias("__w"))
+    right = names.filter(F.length(name) > 0).select(F.col(name), F.substring(name, 1, 2).alias("__w")).distinct()
     met = left.join(right, "__w").withColumn("at", F.instr(F.col(text), F.col(name))).filter("at > 0")
     spans = met.groupBy(query_id).agg(F.array_sort(F.collect_set(F.struct((-F.length(name)).alias("neg"), "at", F.col(name).alias("name")))).alias("s"))
     free = lambda acc, x: ~F.exists(acc, lambda y: (y["at"] < x["at"] - x["neg"]) & (x["at"] < y["at"] - y["neg"]))
@@ -96,23 +105,73 @@ def detect_entities(queries: DataFrame, names: DataFrame, query_id: str, text: s
     return spans.select(query_id, F.explode(kept).alias("k")).select(query_id, F.col("k.name").alias("entity"), F.col("k.at").cast("long").alias("at"))
 
 
+#: Particles that go with a name that is taken out, and those that join a name to the next.
+PARTICLES, JOINING = "와|과|의|은|는|이|가|도|및", "와|과|,"
+
+
 def subquery(text: Column, keep: Column, others: Column) -> Column:
-    """A question about one of several names: the others go with a following particle or comma, blanks collapse; the text itself if nothing is left."""
-    out = F.aggregate(others, text, lambda t, name: F.regexp_replace(t, F.concat(F.lit(r"\Q"), name, F.lit(r"\E(와|과|이랑|랑|하고|및|,)?")), F.lit("")))
-    out = F.regexp_replace(out, F.concat(F.lit(r"(\Q"), keep, F.lit(r"\E)(와|과|,)")), F.lit("$1"))
+    """A question about one of several names: each other goes once with a following particle and comma, what joined the kept one goes, blanks collapse; the text itself if nothing is left."""
+    quoted = lambda name: F.concat(F.lit(r"(?U)\Q"), name, F.lit(r"\E"))
+    out = F.aggregate(others, text, lambda t, name: F.array_join(F.split(t, F.concat(quoted(name), F.lit(f"({PARTICLES})?\\s*,?\\s*")), F.lit(2)), ""))
+    out = F.regexp_replace(out, F.concat(F.lit(r"(?U)(\Q"), keep, F.lit(rf"\E)\s*({JOINING})\s*")), F.lit("$1 "))
     out = F.trim(F.regexp_replace(out, r"(?U)\s+", " "))
     return F.when(out != "", out).otherwise(text)
 
 
-def metrics(hits: DataFrame, by: list[str], k: int, ok: str = "ok", rank: str = "rank") -> DataFrame:
-    """hit_1, hit_k, and mrr by key over ranked hits; null where nothing is expected (ok is null)."""
+def dense_top_k(index: DataFrame, queries: DataFrame, k: int, row: str, query: str, vector: str = "embedding", digits: int = 6, rows_block: int = 4096, query_block: int = 256) -> DataFrame:
+    """The k best rows for each query by inner product, itself left out: query, row, score, rank. Both ids are longs.
+
+    Rows and queries are laid in blocks by their ids; each pair of blocks is one matrix product, of
+    which k rows for each query leave the task, and these are ranked.
+    """
+    lay = lambda df, i, n, names: df.select(F.col(i).alias("i"), F.col(vector).alias("v")).groupBy(F.floor(F.col("i") / n).alias("b")).agg(F.collect_list("i").alias(names[0]), F.flatten(F.collect_list("v")).alias(names[1])).drop("b")
+    pairs = lay(index, row, rows_block, ("rows", "r")).crossJoin(lay(queries, query, query_block, ("queries", "q")))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows, r, queries, q = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in range(4))
+                score = np.round(q.astype(np.float64).reshape(len(queries), -1) @ r.astype(np.float64).reshape(len(rows), -1).T, digits)
+                score[queries[:, None] == rows[None, :]] = -np.inf
+                best = np.array([np.lexsort((rows, -s))[:k] for s in score]).reshape(len(queries), -1)
+                found = np.take_along_axis(score, best, axis=1)
+                ok = np.isfinite(found).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(queries, best.shape[1])[ok]), pa.array(rows[best].ravel()[ok]), pa.array(found.ravel()[ok])], [query, row, "score"])
+
+    return top_k_each(pairs.mapInArrow(run, f"`{query}` long, `{row}` long, score double"), [query], k, row)
+
+
+def sparse_top_k(postings: DataFrame, queries: DataFrame, k: int, row: str = "row", key: str = "query") -> DataFrame:
+    """The k rows with the greatest sums of weight products over shared tokens, for each query: key, row, score, rank.
+
+    postings: row, token, weight; queries: key, token, q_weight, which Spark sends to every task if they
+    are small. Postings are laid by row once, so that a row's sums are made where they lie and tasks
+    send k rows for each query, however frequent a token is.
+    """
+    scored = postings.repartition(row).join(queries, "token").groupBy(row, key).agg(F.sum(F.col("weight") * F.col("q_weight")).alias("score"))
+    return top_k_each(scored, [key], k, row)
+
+
+def metrics(hits: DataFrame, by: list[str], k: int, ok: str = "ok", rank: str = "rank", company_ok: str | None = None) -> DataFrame:
+    """hit_1, hit_k, and mrr by key over ranked hits; null where nothing is expected (ok is null).
+
+    With company_ok also company_1, company_k (the share of hits) and strict_1: the first hit is of the
+    right company and section; null where no company is expected.
+    """
     first = F.min(F.when(F.col(ok), F.col(rank)))
     some = F.count(ok) > 0
     as_number = lambda c: F.when(some, c.cast("double"))
+    at_one = lambda c: F.max(F.when(F.col(rank) == 1, c.cast("double")))
+    company = [] if company_ok is None else [
+        at_one(F.col(company_ok)).alias("company_1"),
+        F.avg(F.col(company_ok).cast("double")).alias("company_k"),
+        at_one(F.when(F.col(company_ok).isNotNull(), F.col(company_ok) & F.coalesce(F.col(ok), F.lit(False)))).alias("strict_1"),
+    ]
     return hits.filter(F.col(rank) <= k).groupBy(*by).agg(
         as_number(F.coalesce(F.bool_or(F.col(ok) & (F.col(rank) == 1)), F.lit(False))).alias("hit_1"),
         as_number(F.coalesce(F.bool_or(ok), F.lit(False))).alias("hit_k"),
         F.when(some, F.coalesce(1 / first, F.lit(0.0))).alias("mrr"),
+        *company,
     )
 
 

@@ -71,8 +71,8 @@ def grounding(facts: DataFrame, values: DataFrame, **_) -> DataFrame:
 
 @check("units")
 def units(chunks: DataFrame, **_) -> DataFrame:
-    """Numeric tables carry a unit, or say that none is known."""
-    return _row(chunks.filter((F.col("kind") == "table") & (F.col("numeric_ratio") >= 0.5)), F.col("unit").isNull() & F.col("unit_known").isNull())
+    """Numeric tables say whether their unit is known."""
+    return _row(chunks.filter((F.col("kind") == "table") & (F.col("numeric_ratio") >= 0.2)), F.col("unit_known").isNull())
 
 
 @check("keys")

@@ -36,10 +36,19 @@ def carried(value: Column, part: list[str], seq: str) -> Column:
     return F.last(value, True).over(Window.partitionBy(*part).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0))
 
 
-def gathered(values: Column, part: list[str], seq: str) -> Column:
-    """Distinct elements of the arrays so far, in the order in which they came."""
-    w = Window.partitionBy(*part).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    return F.array_distinct(F.flatten(F.collect_list(values).over(w)))
+def gathered(blocks: DataFrame, values: Column, part: list[str], seq: str, name: str = "gathered") -> DataFrame:
+    """Adds the distinct elements of the arrays so far, in the order in which they came: each element's first place is found once, and a row takes those up to its own."""
+    each = blocks.select(*part, F.col(seq).alias("__s"), F.posexplode(values).alias("__i", "__x"))
+    first = each.groupBy(*part, "__x").agg(F.min(F.struct("__s", "__i")).alias("__at"))
+    lists = first.groupBy(*part).agg(F.array_sort(F.collect_list(F.struct("__at", "__x"))).alias("__all"))
+    seen = F.filter(F.coalesce("__all", F.array()), lambda x: x["__at"]["__s"] <= F.col(seq))
+    return blocks.join(lists, part, "left").withColumn(name, F.transform(seen, lambda x: x["__x"])).drop("__all")
+
+
+def gathered_count(value: Column, part: list[str], seq: str) -> Column:
+    """How many distinct values a part has had up to each row, with no list of them."""
+    fresh = F.row_number().over(Window.partitionBy(*part, value).orderBy(seq)) == 1
+    return F.count_if(fresh & value.isNotNull()).over(Window.partitionBy(*part).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0))
 
 
 def text_islands(blocks: DataFrame, part: list[str], seq: str, is_text: Column, text: Column) -> DataFrame:
@@ -84,6 +93,16 @@ def intervals(df: DataFrame, number: str, by: list[str] | None = None) -> DataFr
     return rows.withColumn("__k", island).groupBy(*by, "__k").agg(F.min(number).alias("start"), F.max(number).alias("end")).drop("__k")
 
 
+def whole_intervals(df: DataFrame, number: str, block: int = 1 << 16) -> DataFrame:
+    """intervals() of a table without a key: numbers are compressed in blocks, and only the intervals at a block's borders, two of each at most, meet in one window."""
+    parts = intervals(df.select(number).withColumn("__b", F.floor(F.col(number) / block)), number, ["__b"])
+    border = (F.col("start") == F.col("__b") * block) | (F.col("end") == F.col("__b") * block + (block - 1))
+    w = Window.orderBy("start")
+    new = F.when(F.lag("end").over(w) == F.col("start") - 1, 0).otherwise(1)
+    met = parts.filter(border).withColumn("__new", new).withColumn("__g", F.sum("__new").over(w)).groupBy("__g").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return parts.filter(~border).select("start", "end").unionByName(met.drop("__g"))
+
+
 def expand(df: DataFrame, start: str = "start", end: str = "end", name: str = "number") -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(start, end))).drop(start, end)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import scalars as S
-from docloom.operators import checks, chunks, policy
+from docloom.operators import checks, chunks, policy, windows
 from docloom.sources import markup
 
 from .registry import query, table
@@ -146,4 +146,86 @@ def events_session(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("events_latest", "SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1")
 def events_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("ts").alias("ts"), F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+    return windows.last_wins(table(spark, sf_dir, "events").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"])
+
+
+@query(
+    "captions_of_brands",
+    """SELECT p_partkey, p_brand AS unit, 'unit' AS kind, CASE WHEN p_size % 2 = 0 THEN 'footnote' END AS note, CASE WHEN p_size % 3 = 0 THEN '' END AS empty FROM part""",
+)
+def captions_of_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captions with blanks within the word, footnotes, and captions of nothing."""
+    p = table(spark, sf_dir, "part")
+    unit = F.concat(F.lit("표 ( 단 위 ： "), F.col("p_brand"), F.lit(" ) 계속"))
+    note = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit(" ※ "), "p_name")).otherwise(F.col("p_name"))
+    return p.select("p_partkey", S.caption_unit(unit).alias("unit"), S.caption_kind(unit).alias("kind"), S.caption_kind(note).alias("note"), S.caption_unit(F.when(F.col("p_size") % 3 == 0, F.lit("(단위 : )")).otherwise("p_name")).alias("empty"))
+
+
+@query(
+    "statement_codes",
+    """WITH c AS (SELECT l_orderkey, l_linenumber, ['BS', 'IS', 'CF', 'EF', 'NT'][l_orderkey % 5 + 1] AS s, ['', '_S', '_C'][l_linenumber % 3 + 1] AS b, CASE WHEN l_quantity > 25 THEN CAST(l_linenumber AS VARCHAR) ELSE '' END AS v FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN s <> 'NT' THEN s END AS statement, CASE WHEN s <> 'NT' THEN CASE WHEN b = '_S' THEN 'separate' ELSE 'consolidated' END END AS basis, CASE WHEN s <> 'NT' AND v <> '' THEN CAST(v AS INT) END AS variant, CASE WHEN s <> 'NT' THEN CASE WHEN b = '' THEN 'inferred_no_suffix' ELSE 'suffix' END END AS source FROM c""",
+)
+def statement_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pick = lambda names, i: F.element_at(F.array(*map(F.lit, names)), (i + 1).cast("int"))
+    variant = F.when(F.col("l_quantity") > 25, F.col("l_linenumber").cast("string")).otherwise("")
+    code = F.concat(F.lit("{XBRL}"), pick(("BS", "IS", "CF", "EF", "NT"), F.col("l_orderkey") % 5), pick(("", "_S", "_C"), F.col("l_linenumber") % 3), variant)
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", S.statement_code(code).alias("c"))
+    return rows.select("l_orderkey", "l_linenumber", "c.statement", "c.basis", "c.variant", F.col("c.basis_source").alias("source"))
+
+
+@query(
+    "labels_normal",
+    """SELECT p_partkey, replace(p_name, ' ', '') AS label, p_name AS flat, 'small' AS kept FROM part""",
+)
+def labels_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered labels with a note reference, and text with characters that show nothing."""
+    p = table(spark, sf_dir, "part")
+    label = F.concat(F.lit("Ⅵ. 1) "), "p_name", F.lit(" (주 5,27) "))
+    dirty = F.concat(F.lit(" \u200b"), F.replace("p_name", F.lit(" "), F.lit("\u00a0 \t")), F.lit("\x01\n\x0b "))
+    return p.select("p_partkey", S.normal_label(label).alias("label"), S.flat(dirty).alias("flat"), S.normal_label(F.lit("small")).alias("kept"))
+
+
+@query(
+    "numbers_strict",
+    """SELECT o_orderkey, CAST(o_orderkey AS DOUBLE) AS plain, -CAST(o_orderkey AS DOUBLE) AS negative, CAST(NULL AS DOUBLE) AS suffixed, CAST(NULL AS DOUBLE) AS power, CAST(o_orderkey // 7 AS INT) AS whole, ceil(o_orderkey / 7.0)::BIGINT AS parts, ceil(o_orderkey / 3.0)::BIGINT AS tokens FROM orders""",
+)
+def numbers_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    text = F.format_number(key, 0)
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.number(F.concat(F.lit(" "), text)).alias("plain"), S.number(F.concat(F.lit("( "), text, F.lit(")"))).alias("negative"), S.number(F.concat(text, F.lit("d"))).alias("suffixed"), S.number(F.concat(key.cast("string"), F.lit("e1"))).alias("power"), S.whole(F.concat(F.lit(" "), F.floor(key / 7).cast("string")), 1).alias("whole"), S.ceil_div(key, F.lit(7)).alias("parts"), S.tokens_estimate(key).alias("tokens"))
+
+
+@query(
+    "period_labels",
+    """WITH o AS (SELECT o_orderkey, o_orderkey % 60 + 1 AS k, ['', ' 1분기', ' 반기', ' 기말', ' 3분기말 누적'][o_orderkey % 5 + 1] AS s, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders)
+SELECT o_orderkey, '제 ' || k || ' 기' || s AS body, '제 ' || k || ' 기' || s AS caption, d AS shown, d || ' ~ ' || d AS span, CAST(left(d, 4) AS INT) AS year, d || ' ~ ' || d AS unit_dates FROM o""",
+)
+def period_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels in running text and before a date, dates, ranges and receipts."""
+    number = (F.col("o_orderkey") % 60 + 1).cast("string")
+    label = F.concat(F.lit("제 "), number, F.lit("  기"), F.element_at(F.array(*map(F.lit, ("", " 1분기", " 반기", " 기말", " 3분기말 누적"))), (F.col("o_orderkey") % 5 + 1).cast("int")))
+    date, digits = F.date_format("o_orderdate", "yyyy.M.d"), F.date_format("o_orderdate", "yyyyMMdd")
+    body, caption = F.concat(F.lit("당사의 "), label, F.lit(" 매출은 늘었다")), F.concat(label, F.lit(" "), date, F.lit(" 현재"))
+    twice = F.concat(label, F.lit(" "), date, F.lit("부터 "), date, F.lit("까지"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.period_label(body).alias("body"), S.period_label(caption, caption=True).alias("caption"), S.period_display(S.period_of(caption)).alias("shown"), S.period_display(S.period_of(twice)).alias("span"), S.receipt_year(F.concat(digits, F.lit("000001"))).alias("year"), S.unit_value_dates(F.concat(digits, F.lit("-"), digits)).alias("unit_dates"))
+
+
+@query(
+    "turn_chunks",
+    r"""WITH t AS (SELECT conv_id, turn, role, text, count(*) FILTER (role IN ('system', 'assistant')) OVER w AS run, count(*) FILTER (role = 'system') OVER w AS section FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+h AS (SELECT conv_id, section, 'T' || min(turn) AS title FROM t WHERE role = 'system' GROUP BY 1, 2),
+c AS (SELECT conv_id, run, 1 AS ord, 'text' AS kind, section, string_agg(CASE WHEN role = 'user' THEN text END, chr(10) ORDER BY turn) AS body FROM t GROUP BY conv_id, run, section HAVING count(*) FILTER (role = 'user') > 0
+      UNION ALL SELECT conv_id, run, 0, 'table', section, '| who | what |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || role || ' | ' || replace(replace(text, '|', '\|'), chr(10), ' ') || ' |' FROM t WHERE role = 'assistant'),
+n AS (SELECT c.*, title, row_number() OVER (PARTITION BY conv_id ORDER BY run, ord) - 1 AS k FROM c LEFT JOIN h USING (conv_id, section))
+SELECT conv_id, conv_id || '#' || lpad(CAST(k AS VARCHAR), 4, '0') AS chunk_id, kind, coalesce(title, '') AS section, sha256(CASE WHEN title IS NULL THEN '' ELSE '> ' || title || chr(10) END || body) AS text_sha FROM n""",
+)
+def turn_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as documents: a system turn is a heading, a user's a paragraph, an assistant's a table of one row."""
+    role = F.col("role")
+    t = table(spark, sf_dir, "conversations")
+    blocks = t.select(
+        "conv_id", F.col("turn").alias("seq"), F.when(role == "system", "h").when(role == "user", "p").otherwise("t").alias("kind"), F.lit(1).alias("level"), F.when(role == "system", F.concat(F.lit("T"), F.col("turn").cast("string"))).otherwise(F.col("text")).alias("text"),
+        F.lit(None).cast("array<string>").alias("keys"), F.lit(None).cast("string").alias("value"), F.array(F.lit("who"), F.lit("what")).alias("headers"), F.when(role == "assistant", F.array(F.array("role", "text"))).alias("rows"),
+    )
+    return chunks.build_chunks(blocks, "conv_id").select("conv_id", "chunk_id", "kind", F.array_join("section_path", " > ").alias("section"), F.sha2("text", 256).alias("text_sha"))

@@ -37,11 +37,8 @@ SELECT min(n) AS start, max(n) AS "end" FROM k GROUP BY k""",
 def resume_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left to do as intervals: done ones are an anti-join. Blocks of numbers are compressed apart and met at their borders."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n"), "o_orderstatus")
-    todo = o.join(o.filter("o_orderstatus = 'O'").select("n"), "n", "left_anti").select("n").withColumn("block", F.floor(F.col("n") / 65536))
-    parts = W.intervals(todo, "n", ["block"])
-    w = Window.orderBy("start")
-    new = F.when(F.lag("end").over(w) == F.col("start") - 1, 0).otherwise(1)
-    return parts.withColumn("new", new).withColumn("g", F.sum("new").over(w)).groupBy("g").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("g")
+    todo = o.join(o.filter("o_orderstatus = 'O'").select("n"), "n", "left_anti")
+    return W.whole_intervals(todo, "n", 4096)
 
 
 @query("distinct_events", "SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events")
@@ -83,14 +80,18 @@ def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "period_dictionary",
-    """WITH r AS (SELECT o_custkey, o_orderkey, o_orderpriority AS label, CASE WHEN o_orderstatus <> 'F' THEN strftime(o_orderdate, '%Y-%m-%d') END AS d FROM orders)
-SELECT o_custkey, label, count(*) AS n, arg_min(d, o_orderkey) FILTER (d IS NOT NULL) AS begin FROM r GROUP BY 1, 2""",
+    """WITH r AS (SELECT o_custkey, o_orderkey, o_orderkey % 3 + 1 AS k, o_orderstatus = 'F' AS f, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders),
+d AS (SELECT o_custkey, k, arg_min(d, o_orderkey) AS begin FROM r WHERE NOT f GROUP BY 1, 2)
+SELECT o_custkey, '제 ' || k || ' 기 1분기' || CASE WHEN f THEN ' 3개월' ELSE '' END AS label, count(*) AS n, begin, CASE WHEN f AND begin IS NOT NULL THEN '3개월' END AS qualifier
+FROM r LEFT JOIN d USING (o_custkey, k) GROUP BY o_custkey, k, f, begin""",
 )
 def period_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    text = F.when(F.col("o_orderstatus") != "F", F.concat("o_orderpriority", F.lit(" "), F.date_format("o_orderdate", "yyyy.MM.dd"))).otherwise(F.col("o_orderpriority"))
+    """Lines with a label and a date, and lines with a longer label and none."""
+    o, number = table(spark, sf_dir, "orders"), (F.col("o_orderkey") % 3 + 1).cast("string")
+    dated = F.concat(F.lit("매출 제 "), number, F.lit(" 기 1분기 "), F.date_format("o_orderdate", "yyyy.MM.dd"), F.lit(" 현재"))
+    text = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("제"), number, F.lit("기 1분기  3개월 매출액은 다음과 같다"))).otherwise(dated)
     rows = D.period_dictionary(o.select("o_custkey", F.col("o_orderkey").alias("seq"), text.alias("text")), "o_custkey", F.col("text"))
-    return rows.select("o_custkey", "label", "n", F.col("period.begin").alias("begin"))
+    return rows.select("o_custkey", F.regexp_replace("label", "^제 ?([0-9]) ?기", "제 $1 기").alias("label"), "n", F.col("period.begin").alias("begin"), "qualifier")
 
 
 @query(

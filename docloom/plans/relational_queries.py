@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import scalars as S
+from docloom.operators import documents as D
 from docloom.operators import joins as J
+from docloom.operators import quantiles as Q
 from docloom.operators import retrieval as R
 from docloom.operators import statements as ST
 
@@ -210,8 +212,7 @@ def corrections_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT l_returnflag, quantile_cont(l_extendedprice, 0.5) AS p50, quantile_cont(l_extendedprice, 0.9) AS p90, quantile_cont(l_extendedprice, 0.99) AS p99 FROM lineitem GROUP BY 1""",
 )
 def percentile_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.percentile("l_extendedprice", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99))).alias("p"))
-    return p.select("l_returnflag", *[F.col("p")[i].alias(n) for i, n in enumerate(("p50", "p90", "p99"))])
+    return Q.percentiles(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice", {"p50": 0.5, "p90": 0.9, "p99": 0.99})
 
 
 @query(
@@ -220,11 +221,7 @@ def percentile_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT lang, max(n_chars) FILTER (i = n // 2 + 1) AS median FROM r GROUP BY 1""",
 )
 def upper_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By counts of distinct values, so that a group need not be collected."""
-    counts = table(spark, sf_dir, "documents").groupBy("lang", "n_chars").agg(F.count("*").alias("c"))
-    w = Window.partitionBy("lang").orderBy("n_chars")
-    upto = counts.withColumn("upto", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy("lang")))
-    return upto.filter(F.col("upto") >= F.floor(F.col("n") / 2) + 1).groupBy("lang").agg(F.min("n_chars").alias("median"))
+    return Q.order_statistics(table(spark, sf_dir, "documents"), ["lang"], "n_chars", {"median": F.floor(F.col("n") / 2)})
 
 
 @query(
@@ -251,8 +248,8 @@ def reservoir_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def alias_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    both = p.select("p_brand", F.col("p_name").alias("n")).union(p.select("p_brand", "p_type")).distinct()
-    return both.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_set("n")), "|").alias("names"))
+    both = p.select("p_brand", F.col("p_name").alias("n")).union(p.select("p_brand", "p_type"))
+    return D.alias_sets(both, "p_brand", "n").select("p_brand", F.array_join("aliases", "|").alias("names"))
 
 
 @query("set_ops_receipts", """SELECT o_custkey AS k, 'both' AS part FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') UNION ALL SELECT o_custkey, 'only' FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")

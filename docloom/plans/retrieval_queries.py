@@ -12,40 +12,42 @@ from docloom.operators.checks import vector_health
 from .registry import query, table
 
 _DOT = "list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))"
+#: Every row whose id is divisible by 100 is a query; its words are those of the benchmark text with a hundredth of its id, if there is one.
 _SCORED = f"""
-WITH q AS (SELECT embedding FROM embeddings WHERE vec_id = 0),
-b AS (SELECT list_distinct(string_split(lower(text), ' ')) AS toks FROM benchmark WHERE item_id = 0),
-s AS (SELECT d.doc_id, d.source, d.lang, round({_DOT}, 6) AS dense,
-             CAST(len(list_intersect(list_distinct(string_split(lower(d.text), ' ')), b.toks)) AS BIGINT) AS sparse
-      FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id, q, b WHERE d.lang IN ('en', 'fr'))
+WITH q AS (SELECT vec_id AS qid, embedding FROM embeddings WHERE vec_id % 100 = 0),
+b AS (SELECT item_id * 100 AS qid, list_distinct(string_split(lower(text), ' ')) AS toks FROM benchmark),
+s AS (SELECT q.qid, d.doc_id, d.source, d.lang, round({_DOT}, 6) AS dense,
+             CAST(coalesce(len(list_intersect(list_distinct(string_split(lower(d.text), ' ')), b.toks)), 0) AS BIGINT) AS sparse
+      FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id, q LEFT JOIN b USING (qid) WHERE d.lang IN ('en', 'fr'))
 """
 
 
-def one_vector(spark: SparkSession, sf_dir: str, vec_id: int = 0) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").filter(F.col("vec_id") == vec_id).select(F.col("embedding").alias("q"))
+def query_blocks(spark: SparkSession, sf_dir: str, size: int = 256) -> DataFrame:
+    """The query set (qid, q, toks) in blocks of `size` queries at most."""
+    words = table(spark, sf_dir, "benchmark").select((F.col("item_id") * 100).alias("qid"), F.array_distinct(F.split(F.lower("text"), " ")).alias("toks"))
+    queries = table(spark, sf_dir, "embeddings").filter("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("q")).join(words, "qid", "left")
+    return queries.groupBy(F.floor(F.col("qid") / (100 * size)).alias("block")).agg(F.collect_list(F.struct("qid", "q", "toks")).alias("qs"))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that have a vector, with dense and sparse scores against one query of one row."""
-    docs = table(spark, sf_dir, "documents").filter(R.hard_filter(groups=("en", "fr"), group="lang"))
-    q = one_vector(spark, sf_dir)
-    b = table(spark, sf_dir, "benchmark").filter("item_id = 0").select(F.array_distinct(F.split(F.lower("text"), " ")).alias("toks"))
-    rows = table(spark, sf_dir, "embeddings").join(docs, F.col("vec_id") == F.col("doc_id")).join(F.broadcast(q)).join(F.broadcast(b))
-    shared = F.size(F.array_intersect(F.array_distinct(F.split(F.lower("text"), " ")), "toks"))
-    return rows.select("doc_id", "source", "lang", F.round(dot(F.col("embedding"), F.col("q")), 6).alias("dense"), shared.cast("long").alias("sparse"))
+    """Documents that have a vector, with dense and sparse scores against each query."""
+    docs = table(spark, sf_dir, "documents").filter(R.hard_filter(groups=("en", "fr"), group="lang")).select("doc_id", "source", "lang", F.array_distinct(F.split(F.lower("text"), " ")).alias("words"))
+    rows = table(spark, sf_dir, "embeddings").join(docs, F.col("vec_id") == F.col("doc_id")).crossJoin(query_blocks(spark, sf_dir)).withColumn("x", F.explode("qs"))
+    shared = F.when(F.col("x.toks").isNull(), 0).otherwise(F.size(F.array_intersect("words", "x.toks")))
+    return rows.select(F.col("x.qid").alias("qid"), "doc_id", "source", "lang", F.round(dot(F.col("embedding"), F.col("x.q")), 6).alias("dense"), shared.cast("long").alias("sparse"))
 
 
 @query(
     "hybrid_topk",
     _SCORED
     + """, c AS (SELECT *, round(dense + 0.05 * sparse, 6) AS score FROM s),
-r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) AS n FROM c)
-SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, source, dense, sparse, score
-FROM r WHERE n <= 2 ORDER BY score DESC, doc_id LIMIT 10""",
+r AS (SELECT *, row_number() OVER (PARTITION BY qid, source ORDER BY score DESC, doc_id) AS n FROM c),
+k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM r WHERE n <= 2)
+SELECT qid, rank, doc_id, source, dense, sparse, score FROM k WHERE rank <= 10""",
 )
 def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scored(spark, sf_dir).withColumn("score", F.round(R.weighted(F.col("dense"), F.col("sparse"), 1.0, 0.05), 6))
-    return R.capped_top_k(rows, 10, 2, "source", "doc_id").select("rank", "doc_id", "source", "dense", "sparse", "score")
+    return R.capped_top_k(rows, 10, 2, "source", "doc_id", by=["qid"]).select("qid", "rank", "doc_id", "source", "dense", "sparse", "score")
 
 
 @query(
@@ -56,13 +58,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id)
 SELECT qid, vec_id, score, rank FROM r WHERE rank <= 5""",
 )
 def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stated query set against all rows: queries go out in blocks of a bounded number."""
-    index = table(spark, sf_dir, "embeddings")
-    queries = index.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("q"))
-    blocks = queries.withColumn("block", F.floor(F.col("qid") / 25600)).groupBy("block").agg(F.collect_list(F.struct("qid", "q")).alias("qs"))
-    rows = index.join(blocks).select("vec_id", "embedding", F.explode("qs").alias("x")).filter("vec_id != x.qid")
-    scores = rows.select(F.col("x.qid").alias("qid"), "vec_id", F.round(dot(F.col("embedding"), F.col("x.q")), 6).alias("score"))
-    return R.top_k_each(scores, ["qid"], 5, "vec_id")
+    """The stated query set against all rows, block by block."""
+    index = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    queries = index.filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "qid")
+    return R.dense_top_k(index, queries, 5, "vec_id", "qid")
 
 
 @query(
@@ -77,38 +76,37 @@ def sparse_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     token = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"), F.lit(1)))).alias("token")
     postings = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row"), token).withColumn("weight", F.lit(1.0))
     questions = table(spark, sf_dir, "benchmark").select("item_id", token).withColumn("q_weight", F.lit(1.0))
-    scores = R.sparse_scores(postings, questions, "row", "item_id").withColumnRenamed("sparse", "score")
-    return R.top_k_each(scores, ["item_id"], 5).select("item_id", F.col("row").alias("doc_id"), "score", "rank")
+    return R.sparse_top_k(postings, questions, 5, "row", "item_id").select("item_id", F.col("row").alias("doc_id"), "score", "rank")
 
 
 @query(
     "weight_sweep",
     _SCORED
     + """, w AS (SELECT unnest([1.0, 1.0, 0.0]) AS w_dense, unnest([0.0, 0.05, 1.0]) AS w_sparse),
-c AS (SELECT w_dense, w_sparse, doc_id, round(w_dense * dense + w_sparse * sparse, 6) AS score FROM s, w),
-r AS (SELECT *, row_number() OVER (PARTITION BY w_dense, w_sparse ORDER BY score DESC, doc_id) AS rank FROM c)
-SELECT CAST(w_dense AS DOUBLE) AS w_dense, CAST(w_sparse AS DOUBLE) AS w_sparse, doc_id, CAST(score AS DOUBLE) AS score, rank FROM r WHERE rank <= 5""",
+c AS (SELECT qid, w_dense, w_sparse, doc_id, round(w_dense * dense + w_sparse * sparse, 6) AS score FROM s, w),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid, w_dense, w_sparse ORDER BY score DESC, doc_id) AS rank FROM c)
+SELECT qid, CAST(w_dense AS DOUBLE) AS w_dense, CAST(w_sparse AS DOUBLE) AS w_sparse, doc_id, CAST(score AS DOUBLE) AS score, rank FROM r WHERE rank <= 5""",
 )
 def weight_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored once, ranked for each setting."""
+    """Each query scored once, ranked for each setting."""
     settings = F.array(*[F.struct(F.lit(a).alias("w_dense"), F.lit(b).alias("w_sparse")) for a, b in ((1.0, 0.0), (1.0, 0.05), (0.0, 1.0))])
-    rows = scored(spark, sf_dir).withColumn("w", F.explode(settings)).select("doc_id", "w.*", F.round(F.col("w.w_dense") * F.col("dense") + F.col("w.w_sparse") * F.col("sparse"), 6).alias("score"))
-    return R.top_k_each(rows, ["w_dense", "w_sparse"], 5, "doc_id").select("w_dense", "w_sparse", "doc_id", "score", "rank")
+    rows = scored(spark, sf_dir).withColumn("w", F.explode(settings)).select("qid", "doc_id", "w.*", F.round(F.col("w.w_dense") * F.col("dense") + F.col("w.w_sparse") * F.col("sparse"), 6).alias("score"))
+    return R.top_k_each(rows, ["qid", "w_dense", "w_sparse"], 5, "doc_id").select("qid", "w_dense", "w_sparse", "doc_id", "score", "rank")
 
 
 @query(
     "multi_entity_interleave",
-    f"""WITH q AS (SELECT embedding FROM embeddings WHERE vec_id = 0),
-s AS (SELECT vec_id, label, round({_DOT}, 6) AS score FROM embeddings e, q WHERE label IN (1, 2, 3)),
-r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM s)
-SELECT row_number() OVER (ORDER BY rank, label) AS position, label, vec_id, score, rank
-FROM r WHERE rank <= 3 ORDER BY rank, label LIMIT 8""",
+    f"""WITH q AS (SELECT vec_id AS qid, embedding FROM embeddings WHERE vec_id % 100 = 0),
+s AS (SELECT q.qid, vec_id, label, round({_DOT}, 6) AS score FROM embeddings e, q WHERE label IN (1, 2, 3)),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid, label ORDER BY score DESC, vec_id) AS rank FROM s),
+p AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY rank, label) AS position FROM r WHERE rank <= 3)
+SELECT qid, position, label, vec_id, score, rank FROM p WHERE position <= 8""",
 )
 def multi_entity_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").filter(F.col("label").isin(1, 2, 3)).join(F.broadcast(one_vector(spark, sf_dir)))
-    rows = rows.select("vec_id", "label", F.round(dot(F.col("embedding"), F.col("q")), 6).alias("score"))
-    each = R.top_k_each(rows, ["label"], R.entity_quota(8, 3), "vec_id")
-    return R.interleave(each, 8, "label").select("position", "label", "vec_id", "score", "rank")
+    rows = table(spark, sf_dir, "embeddings").filter(F.col("label").isin(1, 2, 3)).crossJoin(query_blocks(spark, sf_dir)).withColumn("x", F.explode("qs"))
+    rows = rows.select(F.col("x.qid").alias("qid"), "vec_id", "label", F.round(dot(F.col("embedding"), F.col("x.q")), 6).alias("score"))
+    each = R.top_k_each(rows, ["qid", "label"], R.entity_quota(8, 3), "vec_id")
+    return R.interleave(each, 8, "label", by=["qid"]).select("qid", "position", "label", "vec_id", "score", "rank")
 
 
 for _name, _drop, _where in (("mask_latest_and_company", False, "label = 3 AND NOT old"), ("mask_company_drops_latest", True, "label = 3")):
@@ -140,13 +138,22 @@ def superseded_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "entity_detect",
-    """WITH n AS (SELECT DISTINCT p_name FROM part), q AS (SELECT item_id, replace(replace(text, ' the ', ' small ring '), ' of ', ' large bolt ') AS text FROM benchmark)
-SELECT item_id, p_name AS entity, CAST(instr(text, p_name) AS BIGINT) AS at FROM q JOIN n ON contains(text, p_name)""",
+    """WITH RECURSIVE n AS (SELECT DISTINCT p_name AS name FROM part UNION SELECT DISTINCT split_part(p_name, ' ', 2) FROM part),
+q AS (SELECT item_id, replace(replace(text, ' the ', ' small ring과 '), ' of ', ' xlarge bolt의 ring ') AS text FROM benchmark),
+c AS (SELECT item_id, name, CAST(instr(text, name) AS BIGINT) AS pos, length(name) AS len FROM q JOIN n ON name <> '' AND contains(text, name)),
+o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY len DESC, pos, name) AS k FROM c),
+f AS (SELECT DISTINCT item_id, CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(a BIGINT, e BIGINT, name VARCHAR)[]) AS taken FROM o
+      UNION ALL SELECT f.item_id, o.k, CASE WHEN len(list_filter(taken, lambda x: x.a < o.pos + o.len AND o.pos < x.e)) = 0 THEN list_append(taken, {'a': o.pos, 'e': o.pos + o.len, 'name': o.name}) ELSE taken END
+      FROM f JOIN o ON o.item_id = f.item_id AND o.k = f.k + 1),
+l AS (SELECT item_id, arg_max(taken, k) AS taken FROM f GROUP BY 1), u AS (SELECT item_id, unnest(taken) AS x FROM l)
+SELECT item_id, x.name AS entity, x.a AS "at" FROM u""",
 )
 def entity_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark texts that name parts: frequent words are replaced by part names, so that there is something to find."""
-    q = table(spark, sf_dir, "benchmark").select("item_id", F.replace(F.replace("text", F.lit(" the "), F.lit(" small ring ")), F.lit(" of "), F.lit(" large bolt ")).alias("text"))
-    return R.detect_entities(q, table(spark, sf_dir, "part"), "item_id", "text", "p_name")
+    """Benchmark texts that name parts, some with particles or within a word and some inside longer names: frequent words are replaced, so that there is something to find."""
+    q = table(spark, sf_dir, "benchmark").select("item_id", F.replace(F.replace("text", F.lit(" the "), F.lit(" small ring과 ")), F.lit(" of "), F.lit(" xlarge bolt의 ring ")).alias("text"))
+    p = table(spark, sf_dir, "part")
+    names = p.select(F.col("p_name").alias("name")).union(p.select(F.split_part("p_name", F.lit(" "), F.lit(2)))).distinct()
+    return R.detect_entities(q, names, "item_id", "text", "name")
 
 
 @query(

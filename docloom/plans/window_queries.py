@@ -151,7 +151,16 @@ def ordered_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT conv_id, turn, CAST(count(*) FILTER (fresh) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS n_labels FROM o""",
 )
 def running_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.size(W.gathered(F.array("role"), ["conv_id"], "turn")).cast("long").alias("n_labels"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", W.gathered_count(F.col("role"), ["conv_id"], "turn").alias("n_labels"))
+
+
+@query(
+    "running_lists",
+    """WITH f AS (SELECT conv_id, role, min(turn) AS at FROM conversations GROUP BY 1, 2)
+SELECT c.conv_id, c.turn, string_agg(f.role, ',' ORDER BY f.at) AS roles FROM conversations c JOIN f ON f.conv_id = c.conv_id AND f.at <= c.turn GROUP BY 1, 2""",
+)
+def running_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.gathered(table(spark, sf_dir, "conversations"), F.array("role"), ["conv_id"], "turn").select("conv_id", "turn", F.array_join("gathered", ",").alias("roles"))
 
 
 @query(

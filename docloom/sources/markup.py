@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -37,42 +38,68 @@ class Node:
         return (x for x in self.content if isinstance(x, Node))
 
     def find(self, *tags: str, stop: frozenset[str] = frozenset()) -> Iterator[Node]:
-        """Descendants by tag in document order, without looking below a `stop`."""
-        for x in self.nodes():
+        """Descendants by tag in document order, without looking below a `stop`. A stack of its own: unclosed tags nest without end."""
+        stack = [self.nodes()]
+        while stack:
+            x = next(stack[-1], None)
+            if x is None:
+                stack.pop()
+                continue
             if x.tag in tags:
                 yield x
             if x.tag not in stop:
-                yield from x.find(*tags, stop=stop)
+                stack.append(x.nodes())
 
     def text(self, stop: frozenset[str] = frozenset()) -> str:
-        return "".join(x if isinstance(x, str) else "" if x.tag in HIDDEN or x.tag in stop else "\n" if x.tag == "br" else x.text(stop) for x in self.content)
+        out, stack = [], [iter(self.content)]
+        while stack:
+            x = next(stack[-1], None)
+            if x is None:
+                stack.pop()
+            elif isinstance(x, str):
+                out.append(x)
+            elif x.tag == "br":
+                out.append("\n")
+            elif x.tag not in HIDDEN and x.tag not in stop:
+                stack.append(iter(x.content))
+        return "".join(out)
 
 
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=False)
         self.root = self.at = Node("#root", {})
+        self.open: Counter[str] = Counter()  # tags from the root to the current node
+
+    def _leave(self, node: Node) -> None:
+        """Goes on behind `node`."""
+        while self.at is not node.parent:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         closing, node = CLOSES.get(tag, ()), self.at
-        while closing and node.parent is not None and node.tag not in LIMITS:
+        while any(self.open[t] for t in closing) and node.parent is not None and node.tag not in LIMITS:
+            above = node.parent
             if node.tag in closing:
-                self.at = node.parent
-            node = node.parent
+                self._leave(node)
+            node = above
         new = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.content.append(new)
         if tag not in VOID:
             self.at = new
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.at.content.append(Node(tag, {k: v or "" for k, v in attrs}, self.at))
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.open[tag]:  # an end without a beginning is ignored
+            return
         node = self.at
-        while node.parent is not None and node.tag != tag:
+        while node.tag != tag:
             node = node.parent
-        if node.parent is not None:  # an end without a beginning is ignored
-            self.at = node.parent
+        self._leave(node)
 
     def handle_data(self, data: str) -> None:
         self.at.content.append(data)
@@ -97,9 +124,14 @@ def squeeze(text: str) -> str:
     return "\n".join(x for x in (" ".join(line.split()) for line in text.replace("\xa0", " ").split("\n")) if x)
 
 
+#: Fixed value: the greatest span of a cell, as browsers have it.
+GREATEST_SPAN = 1000
+
+
 def span(value: str | None) -> int:
+    """A span attribute as a number, 1 if it is none, GREATEST_SPAN at most."""
     try:
-        return int((value or "1").strip())
+        return min(GREATEST_SPAN, int((value or "1").strip()))
     except ValueError:
         return 1
 
@@ -158,22 +190,23 @@ def _block(kind: str, **more) -> dict:
 
 
 def table_blocks(node: Node) -> Iterator[dict]:
-    """A table of label and value columns is key-value blocks; a single row of one cell a paragraph; others are tables."""
-    t = read_table(node)
-    body = [r for r in t.texts[t.heads :] if any(r)]
-    if not body:
-        return
-    width = len(body[0])
-    if width == 1:
-        yield from (_block("p", text=r[0]) for r in body if r[0])
-    elif not t.heads and width == 2 and all(row[0] and not row[1] for row in t.labels if row):
-        for label, value in body:
-            if label:
-                yield _block("kv", keys=[label], value=value or None)
-    else:
-        yield _block("t", headers=header(t) if t.heads else [], rows=body)
-    for inner in node.find("table", stop=frozenset(("table",))):
-        yield from table_blocks(inner)
+    """A table of label and value columns is key-value blocks; a single row of one cell a paragraph; others are tables. Inner tables follow."""
+    stack = [node]
+    while stack:
+        t = read_table(node := stack.pop())
+        body = [r for r in t.texts[t.heads :] if any(r)]
+        if not body:
+            continue
+        width = len(body[0])
+        if width == 1:
+            yield from (_block("p", text=r[0]) for r in body if r[0])
+        elif not t.heads and width == 2 and all(row[0] and not row[1] for row in t.labels if row):
+            for label, value in body:
+                if label:
+                    yield _block("kv", keys=[label], value=value or None)
+        else:
+            yield _block("t", headers=header(t) if t.heads else [], rows=body)
+        stack += reversed(list(node.find("table", stop=frozenset(("table",)))))
 
 
 def blocks(root: Node) -> Iterator[dict]:
@@ -186,40 +219,41 @@ def blocks(root: Node) -> Iterator[dict]:
         if text:
             yield _block("p", text=text)
 
-    def walk(node: Node, depth: int) -> Iterator[dict]:
-        for x in node.content:
-            if isinstance(x, str):
-                pending.append(x)
-            elif x.tag in HIDDEN or "display:none" in x.attrs.get("style", "").replace(" ", ""):
-                continue
-            elif x.tag == "table":
-                yield from flush()
-                yield from table_blocks(x)
-            elif (m := re.fullmatch(r"h([1-6])", x.tag)) or x.tag == "title":
-                yield from flush()
-                if text := squeeze(x.text()).replace("\n", " "):
-                    yield _block("h", level=int(m[1]) if m else max(1, depth), text=text)
-            elif x.tag != "div" and (m := re.search(r"\bsection-([1-6])\b", x.attrs.get("class", ""))):  # a viewer's title
-                yield from flush()
-                if text := squeeze(x.text()).replace("\n", " "):
-                    yield _block("h", level=int(m[1]), text=text)
-            elif x.tag == "img" and x.attrs.get("alt", "").strip():
-                yield from flush()
-                yield _block("p", text=x.attrs["alt"].strip())
-            elif m := re.fullmatch(r"section-(\d)", x.tag):
-                yield from flush()
-                yield from walk(x, int(m[1]))
-                yield from flush()
-            elif x.tag == "br":
-                pending.append("\n")
-            elif x.tag in BLOCKS:
-                yield from flush()
-                yield from walk(x, depth)
-                yield from flush()
-            else:
-                yield from walk(x, depth)
-
-    yield from walk(root, 1)
+    def title(x: Node, level: int) -> Iterator[dict]:
+        yield from flush()
+        if text := squeeze(x.text()).replace("\n", " "):
+            yield _block("h", level=level, text=text)
+
+    stack: list[tuple] = [(x, 1) for x in reversed(root.content)]  # what comes next lies on top; (None, 0) ends a paragraph
+    while stack:
+        x, depth = stack.pop()
+        inside = None
+        if x is None:
+            yield from flush()
+        elif isinstance(x, str):
+            pending.append(x)
+        elif x.tag in HIDDEN or "display:none" in x.attrs.get("style", "").replace(" ", ""):
+            continue
+        elif x.tag == "table":
+            yield from flush()
+            yield from table_blocks(x)
+        elif (m := re.fullmatch(r"h([1-6])", x.tag)) or x.tag == "title":
+            yield from title(x, int(m[1]) if m else max(1, depth))
+        elif x.tag != "div" and (m := re.search(r"\bsection-([1-6])\b", x.attrs.get("class", ""))):  # a viewer's title
+            yield from title(x, int(m[1]))
+        elif x.tag == "img" and x.attrs.get("alt", "").strip():
+            yield from flush()
+            yield _block("p", text=x.attrs["alt"].strip())
+        elif x.tag == "br":
+            pending.append("\n")
+        elif (m := re.fullmatch(r"section-(\d)", x.tag)) or x.tag in BLOCKS:
+            yield from flush()
+            stack.append((None, 0))
+            inside = int(m[1]) if m else depth
+        else:
+            inside = depth
+        if inside is not None:
+            stack += [(y, inside) for y in reversed(x.content)]
     yield from flush()
 
 

@@ -22,7 +22,10 @@ def test_search(spark, chunks, tmp_path):
     e = Engine.build(chunks, path=str(tmp_path / "i"))
     got = e.search("revenue sales growth", 3, company="삼성전자").collect()
     assert got[0].chunk_id == "0-03" and {r.company for r in got} == {"삼성전자"} and "old" not in {r.chunk_id for r in got}
-    assert e.entities("삼성전자와 SK하이닉스의 revenue 비교") == ["삼성전자", "SK하이닉스"] or e.entities("compare SK하이닉스 and 삼성전자") == ["SK하이닉스", "삼성전자"]
+    assert e.entities("삼성전자와 SK하이닉스의 revenue 비교") == ["삼성전자", "SK하이닉스"]
+    assert e.entities("compare SK하이닉스 and 삼성전자") == ["SK하이닉스", "삼성전자"]
+    multi = e.search_multi("삼성전자와 SK하이닉스의 revenue sales growth 비교", 4).orderBy("position").collect()
+    assert [r.company for r in multi] == ["삼성전자", "SK하이닉스"] * 2
     multi = e.search_multi("compare SK하이닉스 and 삼성전자 revenue sales growth", 4).orderBy("position").collect()
     assert [r.company for r in multi] == ["SK하이닉스", "삼성전자"] * 2 and {"1-03", "0-03"} <= {r.chunk_id for r in multi}
     assert max(r["count"] for r in e.search("other matter", 6, cap=1).groupBy("doc_id").count().collect()) == 1
@@ -30,8 +33,11 @@ def test_search(spark, chunks, tmp_path):
         e.search("x", company="nobody")
     q = spark.createDataFrame([("q1", "revenue sales growth", "삼성전자", None, ["s3"], None), ("q2", "other matter", None, None, None, None)], files.QUESTION)
     each, mean = e.evaluate(q, 3)
-    assert {r.id: r.hit_1 for r in each.collect()} == {"q1": 1.0, "q2": None} and mean.first().n_mrr == 1
-    assert e.sweep("revenue", [(1, 0), (0, 1), (0, 0)], 2).count() == 4
+    assert {r.id: (r.hit_1, r.strict_1, r.company_k) for r in each.collect()} == {"q1": (1.0, 1.0, 1.0), "q2": (None, None, None)} and mean.first().n_mrr == 1
+    q = spark.createDataFrame([("q3", "삼성전자와 SK하이닉스의 revenue sales growth", None, ["삼성 전자", "SK하이닉스", "nobody"], ["s3"], None), ("q4", "other matter", "Alpha Corp", None, ["nowhere"], None)], files.QUESTION)
+    each, mean = e.evaluate(q, 4)
+    assert {r.id: (r.hit_1, r.strict_1, r.entity_coverage) for r in each.collect()} == {"q3": (1.0, None, 0.6667), "q4": (0.0, 0.0, None)} and mean.first().n_strict_1 == 1
+    assert e.sweep("revenue", [(1, 0), (0, 1), (0, 0)], 2).count() == 4 and e.sweep(q, [(1, 0), (0, 1)], 2).count() == 8
     assert re_embedding_cosine(e.index, e.encoder, fraction=1.0).first().least > 0.999
     main(["ask", str(tmp_path / "i"), "revenue", "-k", "1"])
     assert render(got, 5).startswith("1. [")

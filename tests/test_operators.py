@@ -35,8 +35,8 @@ def test_scalars(spark):
     assert v(S.caption_unit(F.lit("(단위 : 천원)"))) == "천원"
     assert v(S.period_label(F.lit("제 17 기 1분기말 2023.03.31 현재"))) == "제 17 기 1분기말"
     assert v(S.period_of(F.lit("제 17 기 1분기말 2023.03.31 현재"))).asDict() == {"kind": "instant", "begin": "2023-03-31", "end": None}
-    assert v(S.statement_code(F.lit("{XBRL}BS_S"))).asDict() == {"statement": "BS", "basis": "separate", "variant": None}
-    assert v(S.statement_code(F.lit("{XBRL}IS_C3"))).asDict() == {"statement": "IS", "basis": "consolidated", "variant": 3}
+    assert v(S.statement_code(F.lit("{XBRL}BS_S"))).asDict() == {"statement": "BS", "basis": "separate", "variant": None, "basis_source": "suffix"}
+    assert v(S.statement_code(F.lit("{XBRL}IS_C3"))).asDict() == {"statement": "IS", "basis": "consolidated", "variant": 3, "basis_source": "suffix"}
     assert v(S.statement_code(F.lit("{XBRL}BS"))).basis == "consolidated" and v(S.statement_code(F.lit("{XBRL}NT_x"))) is None
     assert v(S.clean(F.lit("a 　  b\n\n​ c  "))) == "a b\nc"
     assert v(S.strip_legal_form(F.lit("(주) 가나 Co., Ltd."))) == "가나" and v(S.safe_filename(F.lit(' a/b:"c". '))) == "a_b__c_"
@@ -75,8 +75,10 @@ def test_retrieval(spark):
     df = spark.createDataFrame([(1, "a", 0.9), (2, "a", 0.8), (3, "a", 0.7), (4, "b", 0.7), (5, "c", 0.1)], "row int, doc string, score double")
     assert [(r.rank, r.row) for r in retrieval.capped_top_k(df, 3, 2, "doc").collect()] == [(1, 1), (2, 2), (3, 4)]
     assert retrieval.entity_quota(6, 4) == 2
-    q = spark.createDataFrame([("삼성전자와 SK하이닉스의 매출액 비교", "삼성전자", ["SK하이닉스의"])], "q string, k string, o array<string>")
+    q = spark.createDataFrame([("삼성전자와 SK하이닉스의 매출액 비교", "삼성전자", ["SK하이닉스"])], "q string, k string, o array<string>")
     assert q.select(retrieval.subquery(F.col("q"), F.col("k"), F.col("o"))).first()[0] == "삼성전자 매출액 비교"
+    q = spark.createDataFrame([("삼성전자와 SK하이닉스의 배당 비교", "삼성전자", ["SK하이닉스"], "삼성전자 배당 비교"), ("A도, B은 A와 C", "B", ["A", "C"], "B은 A와"), ("A", "B", ["A"], "A"), ("A.x와 B", "B", ["A.x"], "B")], "q string, k string, o array<string>, w string")
+    assert all(r.s == r.w for r in q.select("w", retrieval.subquery(F.col("q"), F.col("k"), F.col("o")).alias("s")).collect())
     hits = spark.createDataFrame([(1, 1, False), (1, 2, True), (1, 3, False), (2, 1, None)], "q int, rank int, ok boolean")
     got = {r.q: (r.hit_1, r.hit_k, r.mrr) for r in retrieval.metrics(hits, ["q"], 3).collect()}
     assert got == {1: (0.0, 1.0, 0.5), 2: (None, None, None)}
@@ -143,6 +145,32 @@ def test_chunks(spark):
     df = spark.createDataFrame(b, "part string, seq int, kind string, level int, text string, keys array<string>, value string, headers array<string>, rows array<array<string>>")
     got = chunks.build_chunks(df, "part").orderBy("chunk_id").collect()
     assert [(r.chunk_id, r.kind, r.section_path, r.unit, r.n_rows, r.footnotes) for r in got] == [
-        ("d:0000", "text", ["a"], "천원", None, None), ("d:0001", "table", ["a"], "천원", 40, None), ("d:0002", "table", ["a"], "천원", 40, None), ("d:0003", "table", ["a"], "천원", 15, ["※ note"]), ("d:0004", "text", ["a", "b"], None, None, None),
+        ("d#0000", "text", ["a"], "천원", None, None), ("d#0001", "table", ["a"], "천원", 40, None), ("d#0002", "table", ["a"], "천원", 40, None), ("d#0003", "table", ["a"], "천원", 15, ["※ note"]), ("d#0004", "text", ["a", "b"], None, None, None),
     ]
-    assert got[0].text == "text\nk: (해당없음)" and got[1].text.startswith("| x | y |\n|---|---|\n| r | 1 |")
+    assert got[0].text == "> a\n(단위: 천원)\ntext\n- k: (해당없음)" and got[1].text.startswith("> a\n(단위: 천원)\n(표 1–40행 / 전체 95행)\n| x | y |\n| --- | --- |\n| r | 1 |")
+
+
+def test_containment_is_the_plain_search(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("ab한") for _ in range(n))
+    values = [(p, word(rng.randrange(1, 12))) for p in "xy" for _ in range(60)]
+    facts = [(i, p, word(rng.randrange(0, 6))) for i, p in enumerate("xyz" * 60)] + [(999, "x", None)]
+    got = joins.containment(spark.createDataFrame(facts, "i int, p string, v string"), spark.createDataFrame(values, "p string, v string"), ["p"], "v")
+    plain = lambda p, v: "missing" if v is None else "exact" if (p, v) in values else "inside" if any(q == p and v in w for q, w in values) else "missing"
+    assert {r.i: r.how for r in got.collect()} == {i: plain(p, v) for i, p, v in facts}
+
+
+def test_whole_intervals_and_quantiles(spark):
+    from docloom.operators import quantiles
+
+    rng = random.Random(8)
+    numbers = sorted({n for a in (0, 60, 63, 128, 500, -70) for n in range(a, a + rng.randrange(1, 90))})
+    df = spark.createDataFrame([(n,) for n in numbers], "n long")
+    assert sorted(map(tuple, windows.whole_intervals(df, "n", 64).collect())) == sorted(map(tuple, windows.intervals(df, "n").collect()))
+    rows = [(g, float(rng.choice([1, 2, 2, 2, rng.randrange(1000)]))) for g in "abc" for _ in range(rng.choice([1, 2, 700]))] + [("a", None)]
+    got = quantiles.percentiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", {"q1": 0.25, "q9": 0.9, "top": 1.0}).collect()
+    import numpy as np
+
+    for r in got:
+        own = [v for g, v in rows if g == r.g and v is not None]
+        assert np.allclose([r.q1, r.q9, r.top], np.quantile(own, [0.25, 0.9, 1.0]))

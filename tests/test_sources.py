@@ -82,3 +82,23 @@ def test_streams(spark, sf_dir, tmp_path):
     s = spark.createDataFrame([("a", 1.0, "h"), ("b", 2.0, "h"), ("c", 3.0, "h2")], "k string, modified double, config_hash string")
     d = spark.createDataFrame([("a", 1.0, "h"), ("c", 3.0, "h")], "k string, modified double, config_hash string")
     assert sorted(r.k for r in streams.to_rebuild(s, d, "k").collect()) == ["b", "c"]
+
+
+@pytest.mark.parametrize("source,n", [("<font>a" * 5000, 1), ("<table><tr><td>a<td>b" * 1500, 1500), ("<p>x<b>" * 3000 + "</i>" * 3000, 3000), ("<section-1><title>t</title>" * 800, 800)])
+def test_tags_that_nest_without_end(source, n):
+    root = markup.tree(source)
+    assert len(list(markup.blocks(root))) >= min(n, 1) and len(list(markup.nodes(root))) >= n and root.text()
+    assert len(list(root.find("font", "td", "p", "title"))) >= n
+
+
+def test_spans_are_bounded():
+    root = markup.tree('<table><tr><td colspan="1000000">a</td></tr><tr><td rowspan="99999999">b</td><td colspan="x">c</td></tr></table>')
+    t = markup.read_table(next(root.find("table")))
+    assert len(t.texts) == 2 and len(t.texts[0]) == markup.GREATEST_SPAN and t.texts[1][:3] == ["b", "c", ""]
+
+
+def test_deep_forms():
+    from docloom.operators import forms
+
+    root = markup.tree("<div>" * 2000 + '<title>One</title><table><tr><td>a</td><te acode="X">1</te></tr></table>')
+    assert [(f["code"], f["table_path"]) for f in forms.facts(root)] == [("X", ["One"])]
