@@ -62,6 +62,37 @@ def markdown(blocks: DataFrame, key: str, header: DataFrame | None = None) -> Da
     return body.join(header, key, "left").select(key, F.concat(F.concat_ws("\n\n", "header", "body"), F.lit("\n")).alias("markdown"))
 
 
+#: The version of the envelope.
+SCHEMA = "document/1"
+ENVELOPE = ("doc_id", "doc_group", "corp_code", "corp_name", "rcept_no", "rcept_dt", "report_nm", "is_correction")
+
+
+def envelope(manifest: DataFrame, parts: DataFrame) -> DataFrame:
+    """A row for each document: schema, ENVELOPE, n_parts, and its parts (part_key, doc) in order of their keys."""
+    own = parts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("part_key", "doc"))).alias("parts"))  # a document's files
+    rows = manifest.select(*ENVELOPE).join(own, "doc_id", "left").withColumn("parts", F.coalesce("parts", F.array()))
+    return rows.select(F.lit(SCHEMA).alias("schema"), *ENVELOPE, F.size("parts").alias("n_parts"), "parts")
+
+
+def part_doc(parts: Column, key: Column) -> Column:
+    """The document of one part of an envelope; null without it."""
+    return F.get(F.filter(parts, lambda p: p["part_key"] == key), F.lit(0))["doc"]
+
+
+def placeholders(manifest: DataFrame) -> DataFrame:
+    """Blocks for documents whose files are no markup: a heading and a line that says that their text was not taken."""
+    rows = manifest.filter(F.lower("file_format") != "xml")
+    title = F.concat_ws(" · ", F.nullif("corp_name", F.lit("")), F.nullif("report_nm", F.lit("")))
+    block = lambda seq, kind, level, text: F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), F.lit(level).cast("int").alias("level"), text.alias("text"))
+    each = F.array(block(0, "h", 1, title), block(1, "p", None, F.concat(F.lit("pdf_only_no_text_extraction: "), F.coalesce("file_path", F.lit("")))))
+    return rows.select("doc_id", F.explode(each).alias("b")).select("doc_id", "b.*")
+
+
+def worker_totals(stats: DataFrame) -> DataFrame:
+    """One row of several workers' figures: the longest time, the summed rate, what was skipped."""
+    return stats.agg(F.count("*").alias("n_workers"), F.max("seconds").alias("wall_seconds"), F.round(F.sum(F.coalesce("chunks_per_sec", F.lit(0.0))), 2).alias("chunks_per_sec"), F.sum("n_skipped").alias("n_skipped"))
+
+
 def rag_header(corp: Column, report: Column, date: Column, aliases: Column) -> Column:
     """Three lines: the company and report, the date, other names."""
     blank = lambda c, default: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(default))

@@ -46,26 +46,27 @@ LABELS = {
     "cf_end": ["기말현금및현금성자산", "기말의현금및현금성자산", "기말의현금및현금성자산잔액", "현금및현금성자산의기말잔액", "분기말현금및현금성자산", "분기말의현금및현금성자산", "반기말현금및현금성자산", "반기말의현금및현금성자산", "당기말현금및현금성자산", "당기말의현금및현금성자산"],
     "cf_before_exchange": ["환율변동효과반영전현금및현금성자산의순증가(감소)", "환율변동효과반영전현금및현금성자산의증가(감소)"],
 }
-#: Rules: statement, name, total, signed terms, optional terms, and a group of alternatives of which one must hold.
+#: The accounting identities that the filings' statements state, over the labels above: statement, name, total,
+#: terms (sign, amount), optional terms, and a group of alternatives of which one must hold.
 RULES = [
-    ("BS", "assets", "assets", "+current_assets +noncurrent_assets", "held_assets", None),
-    ("BS", "liabilities", "liabilities", "+current_liabilities +noncurrent_liabilities", "held_liabilities", None),
-    ("BS", "equity", "equity", "+owner_equity +noncontrolling", "", None),
-    ("BS", "balance", "liabilities_equity", "+liabilities +equity", "", None),
-    ("IS", "gross profit", "gross_profit", "+revenue -cost_of_sales", "", None),
-    ("IS", "operating profit", "operating_profit", "+gross_profit -sga", "", None),
-    ("IS", "net income", "net_income", "+pretax -tax", "", None),
-    ("IS", "net income by owner", "net_income", "+owner +noncontrolling", "", None),
-    ("IS", "comprehensive income", "tci", "+net_income +oci", "", None),
-    ("IS", "other comprehensive income", "oci", "+not_reclassified +reclassified", "", None),
-    ("IS", "pretax", "pretax", "+operating_profit +nonoperating", "", None),
-    ("IS", "comprehensive income by owner", "tci", "+tci_owner +tci_noncontrolling", "", None),
-    ("CF", "before exchange", "cf_before_exchange", "+cf_operating +cf_investing +cf_financing", "", None),
-    ("CF", "net change", "cf_net", "+cf_before_exchange +cf_exchange", "", "cf_net"),
-    ("CF", "net change without exchange", "cf_net", "+cf_operating +cf_investing +cf_financing", "", "cf_net"),
-    ("CF", "net change with exchange", "cf_net", "+cf_operating +cf_investing +cf_financing +cf_exchange", "", "cf_net"),
-    ("CF", "end", "cf_end", "+cf_begin +cf_net", "", "cf_end"),
-    ("CF", "end with exchange", "cf_end", "+cf_begin +cf_net +cf_exchange", "", "cf_end"),
+    ("BS", "assets", "assets", [(+1, "current_assets"), (+1, "noncurrent_assets")], ["held_assets"], None),
+    ("BS", "liabilities", "liabilities", [(+1, "current_liabilities"), (+1, "noncurrent_liabilities")], ["held_liabilities"], None),
+    ("BS", "equity", "equity", [(+1, "owner_equity"), (+1, "noncontrolling")], [], None),
+    ("BS", "balance", "liabilities_equity", [(+1, "liabilities"), (+1, "equity")], [], None),
+    ("IS", "gross profit", "gross_profit", [(+1, "revenue"), (-1, "cost_of_sales")], [], None),
+    ("IS", "operating profit", "operating_profit", [(+1, "gross_profit"), (-1, "sga")], [], None),
+    ("IS", "net income", "net_income", [(+1, "pretax"), (-1, "tax")], [], None),
+    ("IS", "net income by owner", "net_income", [(+1, "owner"), (+1, "noncontrolling")], [], None),
+    ("IS", "comprehensive income", "tci", [(+1, "net_income"), (+1, "oci")], [], None),
+    ("IS", "other comprehensive income", "oci", [(+1, "not_reclassified"), (+1, "reclassified")], [], None),
+    ("IS", "pretax", "pretax", [(+1, "operating_profit"), (+1, "nonoperating")], [], None),
+    ("IS", "comprehensive income by owner", "tci", [(+1, "tci_owner"), (+1, "tci_noncontrolling")], [], None),
+    ("CF", "before exchange", "cf_before_exchange", [(+1, "cf_operating"), (+1, "cf_investing"), (+1, "cf_financing")], [], None),
+    ("CF", "net change", "cf_net", [(+1, "cf_before_exchange"), (+1, "cf_exchange")], [], "cf_net"),
+    ("CF", "net change without exchange", "cf_net", [(+1, "cf_operating"), (+1, "cf_investing"), (+1, "cf_financing")], [], "cf_net"),
+    ("CF", "net change with exchange", "cf_net", [(+1, "cf_operating"), (+1, "cf_investing"), (+1, "cf_financing"), (+1, "cf_exchange")], [], "cf_net"),
+    ("CF", "end", "cf_end", [(+1, "cf_begin"), (+1, "cf_net")], [], "cf_end"),
+    ("CF", "end with exchange", "cf_end", [(+1, "cf_begin"), (+1, "cf_net"), (+1, "cf_exchange")], [], "cf_end"),
 ]
 
 
@@ -73,7 +74,7 @@ def rule_terms(spark: SparkSession, rules: list[tuple] = RULES, labels: dict[str
     """The rules as rows: rule, statement, alternative, role (total, term, optional), sign, slot, label and its priority."""
     rows = []
     for n, (statement, name, total, terms, optional, alternative) in enumerate(rules):
-        slots = [("total", 0, total)] + [("term", -1 if t[0] == "-" else 1, t[1:]) for t in terms.split()] + [("optional", 1, t) for t in optional.split()]
+        slots = [("total", 0, total)] + [("term", sign, t) for sign, t in terms] + [("optional", 1, t) for t in optional]
         rows += [(n, statement, name, alternative, role, sign, k, label, p) for k, (role, sign, slot) in enumerate(slots) for p, label in enumerate(labels[slot])]
     return spark.createDataFrame(rows, "rule int, statement string, name string, alternative string, role string, sign int, slot int, label string, priority int").withColumn("label", normal_label(F.col("label")))
 

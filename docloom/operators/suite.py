@@ -94,6 +94,43 @@ def vectors(index: DataFrame, dim: int, **_) -> DataFrame:
     return h.select("n", (F.col("wrong_dim") + F.col("not_finite") + F.col("zero") + F.col("not_unit")).alias("failed"))
 
 
+@check("coverage")
+def coverage(tokens: DataFrame, **_) -> DataFrame:
+    """tokens: key, source and output (arrays): no document lost more than a twentieth of its tokens and more than twenty."""
+    lost, n = F.size(checks.token_loss(F.col("source"), F.col("output"))), F.size("source")
+    return _row(tokens, (n > 0) & (lost > 0.05 * n) & (lost > 20))
+
+
+@check("sums")
+def sums(identities: DataFrame, **_) -> DataFrame:
+    """Every identity that could be checked (statements.identities) holds, or an alternative of it does."""
+    return _row(identities, F.col("status") == "fail")
+
+
+@check("captions")
+def captions(judged: DataFrame, **_) -> DataFrame:
+    """Every caption that is attached points at a table."""
+    bad = ((F.col("attach") == "next") & ~F.col("after_real")) | ((F.col("attach") == "prev") & ~F.col("before_real"))
+    return _row(judged.filter("caption is not null"), F.coalesce(bad, F.lit(False)))
+
+
+@check("periods")
+def periods(period_dates: DataFrame, bodies: DataFrame, **_) -> DataFrame:
+    """Every date of a period stands in its document: period_dates has key and period, bodies key and text."""
+    from docloom.operators.documents import ungrounded_dates
+
+    bad = ungrounded_dates(period_dates, bodies, "key", "text").select("key").distinct().withColumn("bad", F.lit(True))
+    return _row(period_dates.select("key").distinct().join(bad, "key", "left"), F.col("bad").isNotNull())
+
+
+@check("index")
+def index(manifest: DataFrame, document_index: DataFrame, fields: list[str], **_) -> DataFrame:
+    """Every manifest row is in the index once, with the same fields."""
+    differ = joins.reconcile(manifest, document_index, "doc_id", fields).select("doc_id").distinct().withColumn("differ", F.lit(True))
+    have = document_index.groupBy("doc_id").agg(F.count("*").alias("n_rows"))
+    return _row(manifest.select("doc_id").distinct().join(have, "doc_id", "left").join(differ, "doc_id", "left"), (F.coalesce("n_rows", F.lit(0)) != 1) | F.col("differ").isNotNull())
+
+
 def run(spark: SparkSession, names: list[str] | None = None, **inputs) -> tuple[list[dict], int]:
     """Runs the checks whose inputs are there. A check without rows has no verdict; one that breaks is told and doesn't end the others."""
     out, code = [], PASSED

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.functions.scalars import caption_kind, caption_unit, empty_value, number, period_of, statement_code
+from docloom.functions.scalars import PERIOD, caption_kind, caption_unit, empty_value, number, period_label, period_of, statement_code, without_blanks
 
 from .windows import attach_direction
 
@@ -99,7 +99,37 @@ def statement_groups(tables: DataFrame, group: list[str], order: str, code: str)
     g = tables.filter(statement_code(F.col(code)).isNotNull()).groupBy(*group, code).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.when(~wide, F.struct(order, lines.alias("l"))))), lambda x: x["l"])).alias("captions"), F.max_by("rows", F.when(wide, F.col(order))).alias("data"))
     s = statement_code(F.col(code))
     unit = F.get(F.filter(F.transform("captions", caption_unit), lambda u: u.isNotNull()), F.lit(0))
-    return g.select(*group, code, s["statement"].alias("statement"), s["basis"].alias("basis"), s["variant"].alias("variant"), "captions", unit.alias("unit"), F.filter(F.transform("captions", period_of), lambda p: p["kind"] != "unknown").alias("periods"), merged_header(F.col("data"), header_rows(F.col("data"))).alias("header"), body(F.col("data"), header_rows(F.col("data"))).alias("rows"), F.when(F.col("data").isNull(), "low").otherwise("unverified").alias("parse_confidence"))
+    return g.select(*group, code, s["statement"].alias("statement"), s["basis"].alias("basis"), s["variant"].alias("variant"), "captions", unit.alias("unit"), caption_periods(F.col("captions")).alias("periods"), merged_header(F.col("data"), header_rows(F.col("data"))).alias("header"), body(F.col("data"), header_rows(F.col("data"))).alias("rows"), F.when(F.col("data").isNull(), "low").otherwise("unverified").alias("parse_confidence"))
+
+
+def caption_periods(captions: Column) -> Column:
+    """The captions that name a period: label, kind, begin and end (kind unknown without a date)."""
+    named = F.transform(captions, lambda c: F.struct(period_label(c, caption=True).alias("label"), period_of(c).alias("p")))
+    return F.transform(F.filter(named, lambda x: x["label"].isNotNull()), lambda x: F.struct(x["label"].alias("label"), x["p"]["kind"].alias("kind"), x["p"]["begin"].alias("begin"), x["p"]["end"].alias("end")))
+
+
+def column_periods(header: Column, periods: Column) -> Column:
+    """For each column its header, the period whose label is the longest that the header begins with, blanks aside, and what the header has more (`qualifier`)."""
+
+    def one(h: Column, i: Column) -> Column:
+        key = without_blanks(h)
+        met = F.filter(F.transform(periods, lambda p: F.struct(F.length(without_blanks(p["label"])).alias("n"), p.alias("p"))), lambda x: (x["n"] > 0) & F.startswith(key, without_blanks(x["p"]["label"])))
+        best = F.get(F.filter(met, lambda x: x["n"] == F.array_max(F.transform(met, lambda y: y["n"]))), F.lit(0))  # the first of equals
+        return F.struct(i.alias("index"), h.alias("header"), best["p"].alias("period"), F.nullif(F.substring(key, best["n"] + 1, F.length(key)), F.lit("")).alias("qualifier"))
+
+    return F.transform(header, one)
+
+
+def header_cell(text: Column) -> Column:
+    """Of a PDF's cell, whether it may head a column: a label, a bare year, or a period's number."""
+    year = text.rlike(r"(?U)^(19|20)[0-9]{2}\s*년?\s*([0-9]{1,2}\s*월)?$")
+    return ~value_cell(text) | year | text.rlike(f"(?U)^{PERIOD}")
+
+
+def shaded_header(tags: Column, marks: Column, n_rows: Column) -> Column:
+    """Whether a table's first row is its header by its shading: all its cells are plain and marked BC0..., and rows follow."""
+    shaded = F.zip_with(tags, marks, lambda t, m: (F.lower(t) == "td") & F.startswith(F.upper(F.coalesce(m, F.lit(""))), F.lit("BC0")))
+    return (n_rows > 1) & (F.size(tags) > 0) & F.forall(shaded, lambda x: x)
 
 
 def value_cell(text: Column) -> Column:

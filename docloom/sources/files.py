@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import pickle
+from collections.abc import Iterable, Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,6 +140,54 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHUNK).option("mode", "FAILFAST").json(path)
 
 
+def chunks_of_rows(chunks: DataFrame, ids: DataFrame, rows: DataFrame) -> DataFrame:
+    """The chunks at some rows of the id map (column row), with their rows: a point lookup as two joins, whose small side Spark sends out."""
+    return rows.select("row").join(ids.select("row", "chunk_id"), "row").join(chunks, "chunk_id")
+
+
+def misplaced(chunks: DataFrame, ids: DataFrame) -> DataFrame:
+    """Chunks without a row and rows without a chunk: chunk_id and status; none if the two go together."""
+    status = F.when(F.col("row").isNull(), "no_row").otherwise("no_chunk")
+    both = chunks.select("chunk_id", F.lit(1).alias("__c")).join(ids.select("chunk_id", "row"), "chunk_id", "full")
+    return both.filter(F.col("row").isNull() | F.col("__c").isNull()).select("chunk_id", status.alias("status"))
+
+
+class _Plain(pickle.Unpickler):
+    """Reads plain values only: a stream that names a class or function is taken as broken there."""
+
+    def find_class(self, module: str, name: str):
+        raise pickle.UnpicklingError(f"{module}.{name} is no plain value")
+
+
+def records(data: bytes) -> tuple[list, int]:
+    """The values of a stream of pickles up to its first that is cut off or broken, and the bytes up to there."""
+    stream, found, good = io.BytesIO(data), [], 0
+    while True:
+        try:
+            found.append(_Plain(stream).load())
+        except Exception:  # noqa: BLE001  a broken record raises whatever its bytes make of it
+            return found, good
+        good = stream.tell()
+
+
+def read_postings(spark: SparkSession, path: str) -> DataFrame:
+    """row, token_id and weight from files of pickled batches [(row, {token_id: weight})]; a cut-off tail is left out.
+
+    n_bytes is the file's length and n_good what a writer may keep of it and append to. A file is one task's.
+    """
+    ship(spark)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found, good = records(data)
+                rows = [(name, r, int(t), float(w), len(data), good) for b in found for r, weights in b for t, w in weights.items()]
+                columns = list(zip(*rows, strict=True)) or [[]] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int32(), pa.float32(), pa.int64(), pa.int64()), strict=True)], ["path", "row", "token_id", "weight", "n_bytes", "n_good"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, row long, token_id int, weight float, n_bytes long, n_good long")
+
+
 def read_questions(spark: SparkSession, path: str, only: list[str] | None = None, limit: int | None = None) -> DataFrame:
     df = spark.read.schema(QUESTION).json(path)
     df = df.filter(F.col("id").isin(only)) if only else df

@@ -257,6 +257,73 @@ def blocks(root: Node) -> Iterator[dict]:
     yield from flush()
 
 
+def inside(node: Node, tag: str, limit: str = "table") -> bool:
+    """Whether an ancestor has the tag, none beyond the first `limit` asked: a row in a table's head."""
+    at = node.parent
+    while at is not None and at.tag != limit:
+        if at.tag == tag:
+            return True
+        at = at.parent
+    return False
+
+
+def rewrite_links(root: Node) -> None:
+    """Links become `[text](address)`, or their text without an address."""
+    for a in list(root.find("a")):
+        label, address = " ".join(a.text().split()), a.attrs.get("href") or ""
+        a.tag, a.content = "span", [f"[{label}]({address})" if address else label]
+
+
+def strip_noprint(root: Node) -> None:
+    """Spans that are not for print lose their content."""
+    for x in root.find("span"):
+        if "noprint" in x.attrs.get("class", ""):
+            x.content = []
+
+
+#: Classes of a viewer's markup. A title's level is in its class; table groups lie on level three; a cover on one.
+VIEWER_TITLE, VIEWER_GROUP, VIEWER_COVER = re.compile(r"section-([1-9])"), frozenset(("table-group", "table-group-xbrl")), "cover-title"
+
+
+def layout_table(node: Node) -> bool:
+    """A viewer's table without borders: it lays out captions and notes, and holds no data."""
+    return "nb" in node.attrs.get("class", "").split()
+
+
+def retag_values(root: Node) -> int:
+    """In layout tables a lone cell over the whole width is a value and no label; returns how many there were."""
+    n = 0
+    for table in root.find("table"):
+        if not layout_table(table):
+            continue
+        rows = [r for tr in table.find("tr", stop=frozenset(("table",))) if (r := [c for c in tr.nodes() if c.tag in CELLS])]
+        width = max((sum(span(c.attrs.get("colspan")) for c in r) for r in rows), default=0)
+        for r in rows:
+            if len(r) == 1 and r[0].tag == "td" and span(r[0].attrs.get("colspan")) >= width:
+                r[0].tag, n = "te", n + 1
+    return n
+
+
+def nest_sections(body: Node, deepest: int = 6) -> Node:
+    """A viewer's flat titles as sections that hold what follows them: a title closes those of its level and deeper ones."""
+    out = Node("body", {})
+    open_: list[tuple[int, Node]] = [(0, out)]
+    for x in body.content:
+        name = x.attrs.get("class", "").strip() if isinstance(x, Node) else ""
+        title = VIEWER_TITLE.fullmatch(name)
+        level = 1 if name == VIEWER_COVER else min(int(title[1]), deepest) if title else 3 if name in VIEWER_GROUP else None
+        if level is None:
+            open_[-1][1].content.append(x)
+            continue
+        while len(open_) > 1 and (name == VIEWER_COVER or open_[-1][0] >= level):
+            open_.pop()
+        section = Node("cover" if name == VIEWER_COVER else f"section-{level}", {}, open_[-1][1])
+        section.content.append(Node("title", {}, section, [" ".join(x.text().split())]))
+        open_[-1][1].content.append(section)
+        open_.append((level, section))
+    return out
+
+
 def nodes(root: Node) -> Iterator[dict]:
     """A row for each element in document order: ids, depth, path, attributes, own text."""
     number, stack = 0, [(root, None, 0, 0, "")]

@@ -174,3 +174,23 @@ def test_whole_intervals_and_quantiles(spark):
     for r in got:
         own = [v for g, v in rows if g == r.g and v is not None]
         assert np.allclose([r.q1, r.q9, r.top], np.quantile(own, [0.25, 0.9, 1.0]))
+
+
+def test_small_predicates(spark):
+    from docloom.operators import documents, tables
+
+    df = spark.createDataFrame([("2024년 3 월",), ("제 25 기 1분기",), ("과목",), ("1,234",), ("2024.01.02",)], "t string")
+    assert {r.t: r.v for r in df.select("t", tables.header_cell(F.col("t")).alias("v")).collect()} == {"2024년 3 월": True, "제 25 기 1분기": True, "과목": True, "1,234": False, "2024.01.02": False}
+    marks = lambda *x: F.array(*[F.lit(v) for v in x])
+    assert value(spark, tables.shaded_header(marks("TD", "TD"), marks("BC0x", "bc0"), F.lit(3))) and not value(spark, tables.shaded_header(marks("TD"), marks("BC0"), F.lit(1)))
+    captions = F.array(F.lit("제 17 기 1분기 2023.01.01 부터 2023.03.31 까지"), F.lit("제 17 기 2023.03.31 현재"), F.lit("(단위 : 원)"))
+    got = value(spark, tables.column_periods(F.array(F.lit("과목"), F.lit("제17기 1분기 3개월"), F.lit("제 17 기말")), tables.caption_periods(captions)))
+    assert [(r.period.begin if r.period else None, r.qualifier) for r in got] == [(None, None), ("2023-01-01", "3개월"), ("2023-03-31", "말")]
+    m = spark.createDataFrame([("d", "g", "1", "co", "r", "20240101", "rep", False, "pdf", "x/y.pdf"), ("e", "g", "2", "co2", "r2", "20240102", "rep2", True, "xml", "z")], "doc_id string, doc_group string, corp_code string, corp_name string, rcept_no string, rcept_dt string, report_nm string, is_correction boolean, file_format string, file_path string")
+    env = {r.doc_id: r for r in documents.envelope(m, spark.createDataFrame([("e", "e_2", "B"), ("e", "e_1", "A")], "doc_id string, part_key string, doc string")).collect()}
+    assert [p.part_key for p in env["e"].parts] == ["e_1", "e_2"] and env["d"].n_parts == 0 and env["e"].schema == documents.SCHEMA
+    rows = documents.envelope(m, spark.createDataFrame([("e", "e_1", "A")], "doc_id string, part_key string, doc string"))
+    assert {r.doc_id: r.v for r in rows.select("doc_id", documents.part_doc(F.col("parts"), F.lit("e_1")).alias("v")).collect()} == {"d": None, "e": "A"}
+    assert [(r.doc_id, r.kind, r.text) for r in documents.placeholders(m).orderBy("seq").collect()] == [("d", "h", "co · rep"), ("d", "p", "pdf_only_no_text_extraction: x/y.pdf")]
+    w = documents.worker_totals(spark.createDataFrame([(3.0, 10.0, 1), (5.0, None, 2)], "seconds double, chunks_per_sec double, n_skipped int")).first()
+    assert (w.n_workers, w.wall_seconds, w.chunks_per_sec, w.n_skipped) == (2, 5.0, 10.0, 3)

@@ -102,3 +102,34 @@ def test_deep_forms():
 
     root = markup.tree("<div>" * 2000 + '<title>One</title><table><tr><td>a</td><te acode="X">1</te></tr></table>')
     assert [(f["code"], f["table_path"]) for f in forms.facts(root)] == [("X", ["One"])]
+
+
+def test_pickles_with_a_cut_tail(spark, tmp_path):
+    import pickle
+
+    whole = b"".join(pickle.dumps([(i, {10: 0.5, 20 + i: 1.0})]) for i in range(3))
+    (tmp_path / "a.pkl").write_bytes(whole + pickle.dumps([(9, {1: 1.0})])[:-4])
+    (tmp_path / "b.pkl").write_bytes(b"")
+    (tmp_path / "c.pkl").write_bytes(whole + b"cos\nsystem\n(S'true'\ntR.")
+    got = files.read_postings(spark, str(tmp_path)).collect()
+    assert len(got) == 12 and {r.n_good for r in got} == {len(whole)} and {r.row for r in got} == {0, 1, 2}
+
+
+def test_rows_of_the_id_map(spark):
+    rows = [(f"c{i:03d}", f"text {i}", "d", "000001", "periodic", "20240101000001", "co", "t", None, "c", None) for i in range(20)]
+    chunks = spark.createDataFrame(rows, files.CHUNK)
+    ids = files.id_map(chunks)
+    assert [(r.row, r.chunk_id) for r in files.chunks_of_rows(chunks, ids, spark.createDataFrame([(3,), (7,), (99,)], "row long")).orderBy("row").collect()] == [(3, "c003"), (7, "c007")]
+    assert files.misplaced(chunks, ids).count() == 0 and files.misplaced(chunks.filter("chunk_id != 'c001'"), ids).first().status == "no_chunk"
+
+
+def test_viewer_markup():
+    root = markup.tree('<p class="section-1">A</p><p>x</p><p class="section-2">B</p><table class="a nb"><tr><td colspan="2">(단위 : 원)</td></tr><tr><td>p</td><td>q</td></tr></table><p class="section-1">C</p><p class="cover-title">D</p>')
+    nested = markup.nest_sections(root)
+    assert [(x.tag, next(x.find("title")).text(), [y.tag for y in x.nodes()]) for x in nested.nodes()] == [("section-1", "A", ["title", "p", "section-2"]), ("section-1", "C", ["title"]), ("cover", "D", ["title"])]
+    assert markup.retag_values(root) == 1 and [c.tag for c in root.find("td", "te")] == ["te", "td", "td"]
+    root = markup.tree('<p>see <a href="u">the  page</a> <a>none</a> <span class="x noprint">no</span>!</p><table><thead><tr><td>h</td></tr></thead><tr><td>b</td></tr></table>')
+    markup.rewrite_links(root)
+    markup.strip_noprint(root)
+    assert " ".join(next(root.find("p")).text().split()) == "see [the page](u) none !"
+    assert [markup.inside(tr, "thead") for tr in root.find("tr")] == [True, False]

@@ -54,3 +54,18 @@ def test_reports(spark, tmp_path):
     assert reports.profile_summary(tags).first().tag == "p"
     m = spark.createDataFrame([("q", 1.0)], "id string, hit double")
     assert "| hit | 1.000 | 1 |" in reports.metrics_report(m, m.agg(F.avg("hit").alias("hit"), F.count("hit").alias("n_hit")))
+
+
+def test_more_checks(spark):
+    t = spark.createDataFrame([("a", [f"t{i}" for i in range(100)], [f"t{i}" for i in range(70)]), ("b", ["x"], [])], "key string, source array<string>, output array<string>")
+    assert suite.run(spark, ["coverage"], tokens=t)[0][0]["failed"] == 1
+    j = spark.createDataFrame([("unit", "next", False, True), ("unit", "prev", False, True), (None, None, False, False)], "caption string, attach string, before_real boolean, after_real boolean")
+    assert [suite.run(spark, ["captions"], judged=j)[0][0][k] for k in ("n", "failed")] == [2, 1]
+    p = spark.createDataFrame([("a", ("instant", "2023-01-02", None)), ("b", ("instant", "2023-01-03", None))], "key string, period struct<kind:string,begin:string,end:string>")
+    bodies = spark.createDataFrame([("a", "on 2023.1.2"), ("b", "nothing")], "key string, text string")
+    assert [suite.run(spark, ["periods"], period_dates=p, bodies=bodies)[0][0][k] for k in ("n", "failed")] == [2, 1]
+    m = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z")], "doc_id string, corp string")
+    i = spark.createDataFrame([("a", "x"), ("b", "other"), ("c", "z"), ("c", "z")], "doc_id string, corp string")
+    assert [suite.run(spark, ["index"], manifest=m, document_index=i, fields=["corp"])[0][0][k] for k in ("n", "failed")] == [3, 2]
+    s = spark.createDataFrame([("pass",), ("fail",), ("alternative",)], "status string")
+    assert suite.run(spark, ["sums"], identities=s)[0][0]["failed"] == 1 and len(suite.CHECKS) >= 14
