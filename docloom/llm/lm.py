@@ -41,9 +41,9 @@ from .simhash import LOWER
 VOCABULARY, HELD = 2048, 100_000
 HIDDEN = 16
 #: Rounds of averaging; words of a shard and of a file of shards, about.
-ROUNDS, SHARD_WORDS, FILE_WORDS = 4, 400_000, 32_000_000
+ROUNDS, SHARD_WORDS, FILE_WORDS = 4, 800_000, 32_000_000
 #: Steps of a window of training; lanes are as many as give about LANE_WORDS words each, within bounds.
-WINDOW, LANE_WORDS, LANES = 20, 3000, (4, 128)
+WINDOW, LANE_WORDS, LANES = 20, 3000, (4, 256)
 #: Step sizes of the first round and of the last step.
 RATE, LAST_RATE = 0.012, 0.0005
 #: Texts that are read side by side, and words whose probabilities are taken together, about.
