@@ -169,7 +169,7 @@ def linear_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     cell = lambda label, row, value: F.struct(F.lit(label).alias("label"), F.lit(row).alias("row"), value.alias("value"))
     cells = F.explode(F.array(cell("Total", 0, F.col("t")), cell("Filled", 1, wrong), cell("Open", 2, F.col("o"))))
     rows = g.select(F.col("l_suppkey").alias("group"), F.col("l_returnflag").alias("column"), F.lit("X").alias("statement"), cells.alias("x")).select("group", "column", "statement", "x.*")
-    terms = ST.rule_terms(spark, [("X", "total", "total", "+filled +open", "", None)], {"total": ["Total"], "filled": ["Filled", "Shipped"], "open": ["Open"]})
+    terms = ST.rule_terms(spark, [("X", "total", "total", [(+1, "filled"), (+1, "open")], [], None)], {"total": ["Total"], "filled": ["Filled", "Shipped"], "open": ["Open"]})
     return ST.identities(rows, terms).select("group", "column", "total", "sum", "status")
 
 
