@@ -90,7 +90,10 @@ def page_chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.chunk_statistics(chunks.build_chunks(blocks, "page_id"))
 
 
-@query("grid_expand")
+@query(
+    "grid_expand",
+    """SELECT l_orderkey, CAST(count(*) AS INT) AS n_rows, CAST(max(l_linenumber % 3 + 1) AS INT) AS n_cols, true AS rectangular FROM lineitem GROUP BY 1 HAVING max(l_linenumber % 3 + 1) > 1""",
+)
 def grid_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables with spans, made from order lines, spread over their rectangle."""
     cell = F.concat(F.lit("<td colspan="), (F.col("l_linenumber") % 3 + 1).cast("string"), F.lit(">"), F.col("l_returnflag"), F.lit("</td>"))

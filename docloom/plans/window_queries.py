@@ -110,7 +110,15 @@ def interval_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.expand(interval_compress(spark, sf_dir))
 
 
-@query("token_budget_batches")
+@query(
+    "token_budget_batches",
+    """WITH RECURSIVE c AS (SELECT source, doc_id // 4096 AS shard, doc_id, CAST(ceil(strlen(text) / 3.0) AS DOUBLE) AS cost FROM documents),
+d AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source, shard ORDER BY cost, doc_id) AS k FROM c),
+f AS (SELECT source, shard, doc_id, cost, k, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS n, cost AS most FROM d WHERE k = 1
+      UNION ALL SELECT d.source, d.shard, d.doc_id, d.cost, d.k, CASE WHEN greatest(most, d.cost) * (n + 1) > 16384 THEN batch + 1 ELSE batch END, CASE WHEN greatest(most, d.cost) * (n + 1) > 16384 THEN 1 ELSE n + 1 END,
+             CASE WHEN greatest(most, d.cost) * (n + 1) > 16384 THEN d.cost ELSE greatest(most, d.cost) END FROM f JOIN d ON d.source = f.source AND d.shard = f.shard AND d.k = f.k + 1)
+SELECT source, shard, doc_id, cost, batch FROM f""",
+)
 def token_budget_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of each source in greedy batches by length; a source may be cut into shards of ids, each batched by itself."""
     rows = table(spark, sf_dir, "documents").select("source", F.floor(F.col("doc_id") / 4096).alias("shard"), "doc_id", F.ceil(F.octet_length("text") / 3.0).cast("double").alias("cost"))
