@@ -50,32 +50,26 @@ def reconcile(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataF
     return left.join(right, key).select(key, F.explode(F.filter(pairs, lambda p: ~p["left"].eqNullSafe(p["right"]))).alias("d")).select(key, "d.*")
 
 
-#: Characters of the pieces through which a value meets those that hold it.
-GRAM = 3
-
-
-def _grams(text: str, n: int) -> Column:
-    """Distinct pieces of n characters; none of shorter texts."""
-    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(places, lambda i: F.substring(F.col(text), i, F.lit(n))))
+#: Characters of a value's beginning through which it meets the places of others.
+BEGINNING = 8
 
 
 def containment(facts: DataFrame, values: DataFrame, part: list[str], value: str) -> DataFrame:
     """Adds how: exact where the part has the value itself, inside where another value of the part holds it, else missing.
 
-    Values without an equal meet those of their part that hold their rarest piece of GRAM characters (or
-    all of a shorter value), and are then looked for in them.
+    Values without an equal are told by equality from the pieces of their part's values. A place is kept
+    if some such value begins as it does, in BEGINNING characters (or all of a shorter value), and gives
+    a piece for each length that these values have. So rows grow with places and lengths, not with pairs.
     """
     own = values.select(*part, F.col(value).alias("__v")).filter("__v is not null").distinct()
     df = facts.join(own.withColumnRenamed("__v", value).withColumn("__e", F.lit(True)), [*part, value], "left")
     rest = df.filter(F.col("__e").isNull() & F.col(value).isNotNull()).select(*part, value).distinct()
-    pieces = lambda name: F.concat(*[_grams(name, n) for n in range(1, GRAM + 1)])
-    short = F.when(F.length(value) < GRAM, F.array(F.col(value))).otherwise(_grams(value, GRAM))
-    wanted = rest.filter(F.length(value) > 0).select(*part, value, F.explode(short).alias("__g"))
-    held = own.select(*part, "__v", F.explode(pieces("__v")).alias("__g")).join(wanted.select(*part, "__g").distinct(), [*part, "__g"], "left_semi")
-    counts = held.groupBy(*part, "__g").agg(F.count("*").alias("__n"))
-    rarest = wanted.join(counts, [*part, "__g"], "left").groupBy(*part, value).agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__g").alias("g"))).alias("__r"))
-    met = rarest.filter("__r.n > 0").select(*part, value, F.col("__r.g").alias("__g")).join(held, [*part, "__g"]).filter(F.contains("__v", value))
-    empty = rest.filter(F.length(value) == 0).join(own, part).select(*part, value)  # nothing is in everything
-    inside = met.select(*part, value).union(empty).distinct().withColumn("__i", F.lit(True))
+    begins = rest.filter(F.length(value) > 0).groupBy(*part, F.substring(value, 1, BEGINNING).alias("__b")).agg(F.collect_set(F.length(value)).alias("__n"))
+    sizes = begins.agg(F.collect_set(F.length("__b")).alias("__s"), F.max(F.array_max("__n")).alias("__m"))  # one row of BEGINNING numbers at most
+    places = own.filter(F.length("__v") > 0).crossJoin(F.broadcast(sizes)).select(*part, "__v", "__s", "__m", F.explode(F.sequence(F.lit(1), F.length("__v"))).alias("__i"))
+    places = places.select(*part, F.substring("__v", F.col("__i"), F.col("__m")).alias("__t"), F.explode("__s").alias("__l")).filter(F.length("__t") >= F.col("__l"))
+    met = places.select(*part, "__t", F.substring("__t", F.lit(1), F.col("__l")).alias("__b")).join(begins, [*part, "__b"])
+    pieces = met.select(*part, "__t", F.explode("__n").alias("__l")).filter(F.length("__t") >= F.col("__l")).select(*part, F.substring("__t", F.lit(1), F.col("__l")).alias(value)).distinct()
+    empty = rest.filter(F.length(value) == 0).join(own.select(*part).distinct(), part, "left_semi")  # nothing is in everything
+    inside = rest.join(pieces, [*part, value], "left_semi").union(empty).withColumn("__i", F.lit(True))
     return df.join(inside, [*part, value], "left").withColumn("how", F.when(F.col("__e"), "exact").when(F.col("__i"), "inside").otherwise("missing")).drop("__e", "__i")

@@ -160,6 +160,27 @@ def test_containment_is_the_plain_search(spark):
     assert {r.i: r.how for r in got.collect()} == {i: plain(p, v) for i, p, v in facts}
 
 
+def rows_made(df):
+    """The greatest number of rows that a node of the executed plan put out."""
+    df.collect()
+    greatest, stack = 0, [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.nodeName()
+        metric = node.metrics().get("numOutputRows")
+        greatest = max(greatest, metric.get().value() if metric.isDefined() else 0)
+        stack += [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if name.endswith("QueryStage") else [node.children().apply(i) for i in range(node.children().size())]
+    return greatest
+
+
+def test_containment_makes_no_pairs_of_like_values(spark):
+    names = [f"Customer#{i * 37:09d}" for i in range(1500)]
+    facts = [(i, "x", w[: 9 + i % 10]) for i, w in enumerate(names)] + [(-1, "x", "mer#00003"), (-2, "x", "mer#00009"), (-3, "y", "Customer")]
+    got = joins.containment(spark.createDataFrame(facts, "i int, p string, v string"), spark.createDataFrame([("x", w) for w in names], "p string, v string"), ["p"], "v")
+    assert rows_made(got) < 25 * len(names)
+    assert {r.i: r.how for r in got.collect()} == {i: "exact" if i >= 0 and v in names else "inside" if p == "x" and any(v in w for w in names) else "missing" for i, p, v in facts}
+
+
 def test_whole_intervals_and_quantiles(spark):
     from docloom.operators import quantiles
 
