@@ -37,6 +37,13 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("x.qid").alias("qid"), "doc_id", "source", "lang", F.round(dot(F.col("embedding"), F.col("x.q")), 6).alias("dense"), shared.cast("long").alias("sparse"))
 
 
+def text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that have a vector, in blocks; texts are lower-cased once they are joined."""
+    docs = table(spark, sf_dir, "documents").filter(R.hard_filter(groups=("en", "fr"), group="lang")).select("doc_id", "source", "text")
+    rows = table(spark, sf_dir, "embeddings").join(docs, F.col("vec_id") == F.col("doc_id")).withColumn("text", F.lower("text"))
+    return R.text_blocks(rows, "doc_id", "source", "text")
+
+
 @query(
     "hybrid_topk",
     _SCORED
@@ -46,8 +53,8 @@ k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id)
 SELECT qid, rank, doc_id, source, dense, sparse, score FROM k WHERE rank <= 10""",
 )
 def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scored(spark, sf_dir).withColumn("score", F.round(R.weighted(F.col("dense"), F.col("sparse"), 1.0, 0.05), 6))
-    return R.capped_top_k(rows, 10, 2, "source", "doc_id", by=["qid"]).select("qid", "rank", "doc_id", "source", "dense", "sparse", "score")
+    rows = R.hybrid_top_k(text_blocks(spark, sf_dir), query_blocks(spark, sf_dir), [(1.0, 0.05)], 10, 2)
+    return rows.select("qid", "rank", F.col("row").alias("doc_id"), F.col("group").alias("source"), "dense", "sparse", "score")
 
 
 @query(
@@ -103,9 +110,9 @@ p AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY rank, label) AS pos
 SELECT qid, position, label, vec_id, score, rank FROM p WHERE position <= 8""",
 )
 def multi_entity_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").filter(F.col("label").isin(1, 2, 3)).crossJoin(query_blocks(spark, sf_dir)).withColumn("x", F.explode("qs"))
-    rows = rows.select(F.col("x.qid").alias("qid"), "vec_id", "label", F.round(dot(F.col("embedding"), F.col("x.q")), 6).alias("score"))
-    each = R.top_k_each(rows, ["qid", "label"], R.entity_quota(8, 3), "vec_id")
+    rows = R.text_blocks(table(spark, sf_dir, "embeddings").filter(F.col("label").isin(1, 2, 3)), "vec_id", "label")
+    each = R.hybrid_top_k(rows, query_blocks(spark, sf_dir), [(1.0, 0.0)], None, R.entity_quota(8, 3))
+    each = each.select("qid", F.col("row").alias("vec_id"), F.col("group").cast("int").alias("label"), "score", "rank")
     return R.interleave(each, 8, "label", by=["qid"]).select("qid", "position", "label", "vec_id", "score", "rank")
 
 

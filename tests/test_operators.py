@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions import scalars as S
 from docloom.operators import checks, chunks, joins, policy, retrieval, statements, windows
+from docloom.plans.catalog import QUERIES
 
 
 def value(spark, column):
@@ -215,3 +217,46 @@ def test_small_predicates(spark):
     assert [(r.doc_id, r.kind, r.text) for r in documents.placeholders(m).orderBy("seq").collect()] == [("d", "h", "co · rep"), ("d", "p", "pdf_only_no_text_extraction: x/y.pdf")]
     w = documents.worker_totals(spark.createDataFrame([(3.0, 10.0, 1), (5.0, None, 2)], "seconds double, chunks_per_sec double, n_skipped int")).first()
     assert (w.n_workers, w.wall_seconds, w.chunks_per_sec, w.n_skipped) == (2, 5.0, 10.0, 3)
+
+
+def plain_hybrid(rows, queries, settings, k, cap):
+    x = rows.crossJoin(queries.select(F.explode("qs").alias("x"))).withColumn("w", F.explode(F.array(*[F.struct(F.lit(a).alias("w_dense"), F.lit(b).alias("w_sparse")) for a, b in settings])))
+    shared = F.coalesce(F.size(F.array_intersect(F.array_distinct(F.split("text", " ")), "x.toks")), F.lit(0))
+    x = x.select(F.col("x.qid").alias("qid"), "row", "group", "w.*", F.round(S.dot(F.col("v"), F.col("x.q")), 6).alias("dense"), F.greatest(shared, F.lit(0)).cast("long").alias("sparse"))
+    x = x.withColumn("score", F.round(F.col("w_dense") * F.col("dense") + F.col("w_sparse") * F.col("sparse"), 6))
+    by = ["qid", "w_dense", "w_sparse"]
+    if k is None:
+        return retrieval.top_k_each(x, [*by, "group"], cap)
+    return retrieval.top_k_each(x, by, k) if cap is None else retrieval.capped_top_k(x, k, cap, "group", by=by)
+
+
+@pytest.mark.parametrize("k,cap", [(5, None), (6, 2), (4, 9), (None, 2), (50, 1)])
+@pytest.mark.parametrize("odd", [False, True])
+def test_hybrid_is_the_plain_search(spark, k, cap, odd):
+    """Copies, ties, words twice and none, null texts and groups; odd: null, short and empty vectors, null and NaN elements."""
+    rng = random.Random(f"{k}{cap}{odd}")
+    vector = lambda: [round(rng.uniform(-1, 1), rng.choice((1, 7))) for _ in range(5)]
+    strange = (None, [], [0.5, 0.25], [None, 1.0, 1.0, 1.0, 1.0], [float("nan"), 1.0, 1.0, 1.0, 1.0])
+    copies = [vector() for _ in range(3)]
+    any_vector = lambda: rng.choice(strange) if odd and rng.random() < 0.2 else rng.choice(copies) if rng.random() < 0.5 else vector()
+    words = lambda: " ".join(rng.choice(["a", "b", "ab", "é", "", "c", "a"]) for _ in range(rng.randrange(8)))
+    rows = [(i * 7, rng.choice(["x", "y", "z", None]), any_vector(), None if rng.random() < 0.1 else words()) for i in range(90)]
+    queries = [(i // 4, [(i, any_vector(), None if i % 4 == 0 or i > 7 else list(dict.fromkeys(words().split(" "))))]) for i in range(11)]
+    rows = spark.createDataFrame(rows, "row long, `group` string, v array<float>, text string").repartition(3)
+    queries = spark.createDataFrame(queries, "block long, qs array<struct<qid: long, q: array<float>, toks: array<string>>>").groupBy("block").agg(F.flatten(F.collect_list("qs")).alias("qs"))
+    settings = [(1.0, 0.0), (1.0, 0.05), (0.0, 1.0), (-0.5, 0.3)]
+    got = retrieval.hybrid_top_k(retrieval.text_blocks(rows, "row", "group", "text", "v", size=13), queries, settings, k, cap)
+    want = plain_hybrid(rows, queries, settings, k, cap).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_round_half_up_is_sparks(spark):
+    rng = random.Random(1)
+    xs = [rng.randrange(-(10**7), 10**7) / 10**7 for _ in range(400)] + [1.0000005, -2.5e-6, 0.5e-6, -0.5e-6, -1e-9, 123456789.0123455, 1e15, -3e18, 1e25]
+    want = [r.v for r in spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double").select("i", F.round("x", 6).alias("v")).orderBy("i").collect()]
+    assert retrieval.round_half_up(np.array(xs), 6).tolist() == want
+
+
+@pytest.mark.parametrize("name", ["hybrid_topk", "multi_entity_interleave"])
+def test_search_makes_no_row_for_each_pair(spark, sf_dir, name):
+    assert "Generate" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
