@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.scalars import dot, norm
+from docloom.functions.scalars import norm
 from docloom.operators import retrieval as R
 from docloom.operators.checks import vector_health
 
@@ -29,14 +29,6 @@ def query_blocks(spark: SparkSession, sf_dir: str, size: int = 256) -> DataFrame
     return queries.groupBy(F.floor(F.col("qid") / (100 * size)).alias("block")).agg(F.collect_list(F.struct("qid", "q", "toks")).alias("qs"))
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that have a vector, with dense and sparse scores against each query."""
-    docs = table(spark, sf_dir, "documents").filter(R.hard_filter(groups=("en", "fr"), group="lang")).select("doc_id", "source", "lang", F.array_distinct(F.split(F.lower("text"), " ")).alias("words"))
-    rows = table(spark, sf_dir, "embeddings").join(docs, F.col("vec_id") == F.col("doc_id")).crossJoin(query_blocks(spark, sf_dir)).withColumn("x", F.explode("qs"))
-    shared = F.when(F.col("x.toks").isNull(), 0).otherwise(F.size(F.array_intersect("words", "x.toks")))
-    return rows.select(F.col("x.qid").alias("qid"), "doc_id", "source", "lang", F.round(dot(F.col("embedding"), F.col("x.q")), 6).alias("dense"), shared.cast("long").alias("sparse"))
-
-
 def text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that have a vector, in blocks; texts are lower-cased once they are joined."""
     docs = table(spark, sf_dir, "documents").filter(R.hard_filter(groups=("en", "fr"), group="lang")).select("doc_id", "source", "text")
@@ -96,9 +88,8 @@ SELECT qid, CAST(w_dense AS DOUBLE) AS w_dense, CAST(w_sparse AS DOUBLE) AS w_sp
 )
 def weight_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each query scored once, ranked for each setting."""
-    settings = F.array(*[F.struct(F.lit(a).alias("w_dense"), F.lit(b).alias("w_sparse")) for a, b in ((1.0, 0.0), (1.0, 0.05), (0.0, 1.0))])
-    rows = scored(spark, sf_dir).withColumn("w", F.explode(settings)).select("qid", "doc_id", "w.*", F.round(F.col("w.w_dense") * F.col("dense") + F.col("w.w_sparse") * F.col("sparse"), 6).alias("score"))
-    return R.top_k_each(rows, ["qid", "w_dense", "w_sparse"], 5, "doc_id").select("qid", "w_dense", "w_sparse", "doc_id", "score", "rank")
+    rows = R.hybrid_top_k(text_blocks(spark, sf_dir), query_blocks(spark, sf_dir), [(1.0, 0.0), (1.0, 0.05), (0.0, 1.0)], 5)
+    return rows.select("qid", "w_dense", "w_sparse", F.col("row").alias("doc_id"), "score", "rank")
 
 
 @query(

@@ -257,6 +257,6 @@ def test_round_half_up_is_sparks(spark):
     assert retrieval.round_half_up(np.array(xs), 6).tolist() == want
 
 
-@pytest.mark.parametrize("name", ["hybrid_topk", "multi_entity_interleave"])
+@pytest.mark.parametrize("name", ["hybrid_topk", "multi_entity_interleave", "weight_sweep"])
 def test_search_makes_no_row_for_each_pair(spark, sf_dir, name):
     assert "Generate" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
