@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,3 +134,36 @@ def test_viewer_markup():
     markup.strip_noprint(root)
     assert " ".join(next(root.find("p")).text().split()) == "see [the page](u) none !"
     assert [markup.inside(tr, "thead") for tr in root.find("tr")] == [True, False]
+
+
+def test_plain_markup_reads_as_the_standard_tokenizer_does():
+    rng = random.Random(3)
+    parts = ["<table>", "</table>", "<tr>", "<td>", "<td colspan=2>", '<td a="x y" b=1>', '<td a="">', "</td>", "<p>", "<br>", "text", "a > b", "\n", "<li>", "<b>", "</b>", "</x>", "<td a= 1>", "<br/>", "<T>", "< a", "<", "&amp;", "<title>", '<td a="1"b=2>', "<td  a=1>", "<td a='1'>", "<td a=1", "</p >", "<td a=1 a=2>", '<td a=">">']
+    show = lambda n: (n.tag, n.attrs, [show(x) if isinstance(x, markup.Node) else x for x in n.content])
+    plain = 0
+    for _ in range(20000):
+        source = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 9)))
+        b = markup._Builder()
+        b.feed(source)
+        b.close()
+        plain += markup._plain_tree(source) is not None
+        assert show(markup.tree(source)) == show(b.root)
+    assert plain > 2000
+
+
+def test_equal_sources_are_parsed_once(monkeypatch):
+    """Also when more sources than the memory holds come between, with the results of the plain way."""
+    seen = []
+    monkeypatch.setattr(markup, "tree", lambda source, f=markup.tree: seen.append(source) or f(source))
+    sources = [f"<table><tr><td colspan={i % 3 + 1}>{i % 50}</td><td>x</td></tr></table>" for i in range(300)]
+    read = markup.Memory(markup.blocks)
+    assert [read(x)[0] for x in sources] == [list(markup.blocks(markup.tree(x))) for x in sources]
+    assert len(seen) == 150 + 300
+    small = markup.Memory(markup.blocks, 1 << 14)
+    assert [small(x)[0] for x in sources] == [read(x)[0] for x in sources] and small.old and small.size <= small.limit
+
+
+def test_blocks_of_many_and_large_documents_keep_their_keys(spark):
+    rows = [(i, None if i % 7 == 0 else f"<p>{i % 11}</p>" * (40000 if i % 500 == 3 else 1)) for i in range(2500)]
+    got = markup.parse_blocks(spark.createDataFrame(rows, "k long, html string").coalesce(1), "k", "html").groupBy("k").agg(F.count("*").alias("n"), F.max("text").alias("t")).collect()
+    assert {(r.k, r.n, r.t) for r in got} == {(i, 40000 if i % 500 == 3 else 1, str(i % 11)) for i, x in rows if x}
